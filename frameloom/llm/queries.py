@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from frameloom.llm import near_dedup
+from frameloom.llm import decontam, mixing, near_dedup, token_output
 from frameloom.llm.common import table
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.training_positions(table(spark, sf_dir, "documents")).orderBy("position", "source", "doc_id", "epoch")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_groups(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "group_size", "copies", "keep")
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.packed_tokens(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op3_mixing": op3_mixing,
     "op5_near_dedup": op5_near_dedup,
+    "op6_token_output": op6_token_output,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_mixing": mixing.POSITIONS_SQL}
