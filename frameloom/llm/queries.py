@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from frameloom.llm import decontam, mixing, near_dedup, token_output
+from frameloom.llm import decontam, mixing, near_dedup, token_output, toxicity
 from frameloom.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.packed_tokens(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +32,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op6_token_output": op6_token_output,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
