@@ -17,6 +17,8 @@ from frameloom.llm.common import cut, require, row_key
 MAX_LABELS = 20_000
 #: Seed terms of each polarity, at most.
 SEEDS = 512
+#: Labelled documents of a toxic seed among whose words its clean counterpart is looked for.
+PER_SEED = 20
 #: Chance that any seed at all is none: a bound for all terms together.
 SEED_ERROR = 0.05
 CHUNK = 100
@@ -91,7 +93,10 @@ def seed_terms(sample: DataFrame, seeds: int = SEEDS, error: float = SEED_ERROR)
     frequent, so that both sets of seeds cover the same languages and topics. Of documents that share a
     min-hash, as copies do, one counts.
     """
-    once = sample.withColumn("r1", F.row_number().over(Window.partitionBy("m1", "toxic").orderBy("nk"))).withColumn("r2", F.row_number().over(Window.partitionBy("m2", "toxic").orderBy("nk"))).where("r1 = 1 AND r2 = 1")
+    slim = sample.select("nk", "toxic", "m1", "m2")
+    for m in ("m1", "m2"):
+        slim = slim.withColumn("r", F.row_number().over(Window.partitionBy(m, "toxic").orderBy("nk"))).where("r = 1").drop("r")
+    once = sample.join(F.broadcast(slim.select("nk").distinct()), "nk", "left_semi")  # of at most as many rows as labels
     all_of = once.agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).first()
     a_all, b_all = all_of["a"] or 0, all_of["b"] or 0
     if not a_all or not b_all:
@@ -102,14 +107,18 @@ def seed_terms(sample: DataFrame, seeds: int = SEEDS, error: float = SEED_ERROR)
     terms = cut(terms.withColumns({"g": F.when(F.col("share") > F.col("rate"), F.expr(far)).otherwise(0.0), "z": F.expr("(a - n * rate) / sqrt(n * rate * (1 - rate))")}))
     bound = float(np.log(max(1, terms.count()) / error))
     bad = terms.where((F.col("g") >= bound) & (F.col("share") > 0.5)).orderBy(F.desc("g"), "w").limit(seeds).select("w", "n")
-    bad = cut(bad)
-    texts = once.select("nk", F.explode("words").alias("w"))
-    near = texts.join(F.broadcast(bad.withColumnsRenamed({"w": "seed", "n": "seed_n"})), F.col("w") == F.col("seed")).select("nk", "seed", "seed_n")  # of at most ``seeds`` rows
-    calm = terms.where(F.abs("z") < 1).select("w", "n")
-    pairs = near.join(texts, "nk").join(calm, "w").select("seed", "w", F.abs(F.log(F.col("n") / F.col("seed_n"))).alias("far")).distinct()
-    first = Window.partitionBy("seed").orderBy("far", F.xxhash64("w", "seed"))
+    chosen = bad.toPandas()
+    if chosen.empty:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    found = F.array_intersect("words", F.lit(chosen.w.tolist()).cast("array<long>"))
+    near = once.select("nk", F.explode(found).alias("seed"))
+    some = near.withColumn("r", F.row_number().over(Window.partitionBy("seed").orderBy("nk"))).where(F.col("r") <= PER_SEED)
+    some = once.join(F.broadcast(some.select("nk", "seed")), "nk")  # of at most ``PER_SEED`` rows a seed
+    sizes = sample.sparkSession.createDataFrame(chosen.rename(columns={"w": "seed", "n": "seed_n"})[["seed", "seed_n"]])
+    pairs = some.select("seed", F.explode("words").alias("w")).distinct().join(terms.where(F.abs("z") < 1).select("w", "n"), "w").join(F.broadcast(sizes), "seed")
+    first = Window.partitionBy("seed").orderBy(F.abs(F.log(F.col("n") / F.col("seed_n"))), F.xxhash64("w", "seed"))
     good = pairs.withColumn("r", F.row_number().over(first)).where("r = 1").select("w").distinct()
-    return np.sort(bad.toPandas().w.to_numpy(np.int64)), np.sort(good.toPandas().w.to_numpy(np.int64))
+    return np.sort(chosen.w.to_numpy(np.int64)), np.sort(good.toPandas().w.to_numpy(np.int64))
 
 
 class _Counts:
@@ -129,7 +138,7 @@ class _Counts:
         if not self.rows:
             return
         w, s, n, bits = (np.concatenate(c) for c in zip(*self.rows))
-        order = np.argsort(tv.mix(w.view(_U64) + s.astype(np.int64).view(_U64)))
+        order = np.argsort(tv.mix(w.view(_U64)) + (s + 2).astype(_U64))  # rows of a word stand together, which compresses well
         w, s, n, bits = w[order], s[order], n[order], bits[order]
         new = np.ones(len(w), bool)
         new[1:] = (w[1:] != w[:-1]) | (s[1:] != s[:-1])
