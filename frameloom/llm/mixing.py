@@ -85,10 +85,10 @@ def training_positions(docs: DataFrame, schedule: Schedule | None = None, budget
     require(docs, "doc_id", "source", "text", *keep)
     kept = list(dict.fromkeys(keep))
     n_tok, n_epoch, n_pos = fresh(docs.select(*kept), "tokens", "epoch", "position")
-    src, tok, key, tie, part = fresh(docs, "f_source", "f_tokens", "f_key", "f_tie", "f_part")
-    plain = [c for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
+    src, tok, key, tie, part = "f_source", "f_tokens", "f_key", "f_tie", "f_part"
+    plain = [F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
     base = docs.select(
-        *kept,
+        *(F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(kept)),
         F.col("source").cast("string").alias(src),
         token_count(F.col("text")).alias(tok),
         F.md5(F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(str(seed)))).alias(key),
@@ -127,7 +127,7 @@ def training_positions(docs: DataFrame, schedule: Schedule | None = None, budget
     r, a, b = F.greatest(F.lit(0.0), F.col("y") - F.col("s.before")), (F.col("s.w1") - F.col("s.w0")) / (F.col("s.t1") - F.col("s.t0")) / 2, F.col("s.w0")
     below = b + F.sqrt(F.greatest(F.lit(0.0), b * b + a * 4 * r))
     time = F.least(F.col("s.t1"), F.col("s.t0") + F.when(below > 0, r * 2 / below).otherwise(F.lit(0.0)))
-    return placed.select(*kept, F.col(tok).alias(n_tok), F.col("e").alias(n_epoch), F.floor(time * F.lit(whole)).cast("long").alias(n_pos))
+    return placed.select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(kept)), F.col(tok).alias(n_tok), F.col("e").alias(n_epoch), F.floor(time * F.lit(whole)).cast("long").alias(n_pos))
 
 
 def curriculum(docs: DataFrame, schedule: Schedule | None = None, budget: str | int = "cover", seed: int = SEED) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import cut, require, row_key
+from frameloom.llm.common import cut, fresh, require, row_key
 
 #: Labelled documents from which seeds and the threshold are fitted, at most (those of least hash).
 MAX_LABELS = 20_000
@@ -462,7 +462,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     lexicon = induce(docs, labels, **how)
     if lexicon.table is not None:
         bad = _joined_scores(docs, lexicon.table).where(F.col("score") >= lexicon.threshold).select(F.col("nk").alias("f_nk"))
-        return docs.withColumn("f_nk", row_key()).join(bad, "f_nk", "left_anti").select(*docs.columns)
+        (nk,) = fresh(docs, "f_nk")
+        return docs.withColumn(nk, row_key()).join(bad.withColumnRenamed("f_nk", nk), nk, "left_anti").select(*docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.terms, lexicon.weights, lexicon.threshold))
-    small = docs.select("*", F.lower("text").alias("f_small"))
+    (low,) = fresh(docs, "f_small")
+    small = docs.select("*", F.lower("text").alias(low))
     return small.mapInArrow(_keep_clean(shared), docs.schema)
