@@ -27,7 +27,7 @@ def vector_stats_record(rows: DataFrame, keys: Sequence[str], vector: str) -> Da
     parts = vector_stats(rows, keys, vector)
     names = ("min", "max", "mean", "std", "count")
     per = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", *names))).alias("p"))
-    return per.select(*keys, F.struct(*(F.transform("p", lambda x, n=n: x[n]).alias(n) for n in names)).alias("stats"))
+    return per.select(*keys, F.struct(*(F.col("p")[n].alias(n) for n in names)).alias("stats"))
 
 
 def channel_partials(pixels: DataFrame, keys: Sequence[str], values: str, channels: int = 3, scale: float = 255.0) -> DataFrame:

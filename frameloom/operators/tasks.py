@@ -13,15 +13,15 @@ def task_dictionary(rows: DataFrame, task: str, order: Sequence[str], known: Dat
     first = rows.where(F.col(task).isNotNull()).groupBy(F.col(task).alias("task")).agg(F.min(F.struct(*order)).alias("_first"))
     base = 0
     if known is not None:
-        base = (known.agg(F.max("task_index").alias("m")).first()["m"] if known is not None else None)
-        base = 0 if base is None else base + 1
+        last = known.agg(F.max("task_index").alias("m")).first()["m"]
+        base = 0 if last is None else last + 1
         first = first.join(known.select("task"), "task", "left_anti")
     new = first.select("task", (F.row_number().over(Window.orderBy("_first")) - 1 + base).cast("long").alias("task_index"))  # a row for each task
     return new if known is None else known.select("task", F.col("task_index").cast("long").alias("task_index")).unionByName(new)
 
 
 def encode_tasks(rows: DataFrame, task: str, dictionary: DataFrame) -> DataFrame:
-    return rows.join(dictionary.withColumnRenamed("task", "_task"), F.col(task) == F.col("_task"), "left").drop("_task")
+    return rows.join(dictionary.withColumnRenamed("task", "_entry"), F.col(task) == F.col("_entry"), "left").drop("_entry")
 
 
 def decode_tasks(rows: DataFrame, dictionary: DataFrame) -> DataFrame:

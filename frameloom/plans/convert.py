@@ -50,7 +50,6 @@ def convert_compact(spark: SparkSession, root: str, target: str, state: str, act
 
 
 def _write(rows: DataFrame, frames: DataFrame, tasks: DataFrame, info: dict, target: str, documents: dict) -> None:
-    spark = rows.sparkSession
     with sinks.staged(target) as folder:
         sinks.write_fixed_lists(rows, f"{folder}/data", "episode_index")
         totals = layouts.dataset_info(frames, "episode_index", "task_index", chunk=layouts.CHUNK).first().asDict()
@@ -59,4 +58,3 @@ def _write(rows: DataFrame, frames: DataFrame, tasks: DataFrame, info: dict, tar
         sinks.write_documents({f"{folder}/meta/{k}": v for k, v in (documents | {"info.json": info | totals}).items()})
         for name, df in (("episodes", records), ("tasks", tasks)):
             df.coalesce(1).write.json(f"{folder}/meta/{name}")
-    assert spark.read.parquet(f"{target}/data").columns

@@ -75,7 +75,11 @@ def write_fixed_lists(rows: DataFrame, folder: str, episode: str, order: str = "
     """One Parquet file for each episode, written by the tasks; lists in ``widths`` keep their fixed size. Returns the number of files."""
     widths = dict(widths or {})
 
+    names = rows.columns
+    plain = rows.toDF(*(f"c{i}" for i in range(len(names))))  # names with dots don't reach Python workers
+
     def write(group: pa.Table) -> pa.Table:
+        group = group.rename_columns(names)
         number = group.column(episode)[0].as_py()
         group = group.sort_by(order)
         table = group.cast(fixed_schema(group.schema, widths, features))
@@ -86,4 +90,4 @@ def write_fixed_lists(rows: DataFrame, folder: str, episode: str, order: str = "
         os.replace(part, path)  # a task that runs again writes the same file
         return pa.table({"path": [path]})
 
-    return rows.groupBy(episode).applyInArrow(write, "path string").count()
+    return plain.groupBy(plain.columns[names.index(episode)]).applyInArrow(write, "path string").count()
