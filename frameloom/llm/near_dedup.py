@@ -138,8 +138,9 @@ def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD) -> Data
     whole. An empty table gives an empty result; other columns are ignored.
 
     In each bucket of a band every member is compared with the members of least
-    and greatest key; those that resemble neither are then compared with each
-    other, all pairs, so no bucket is cut off at some size.
+    and greatest key. Where that leaves a bucket's members in several components,
+    every pair of members of different components is compared. So each pair that
+    shares a bucket is verified or known to be connected, at any size of bucket.
     """
     require(docs, "doc_id", "text")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("nk"), F.lower("text").alias("text"))
@@ -160,12 +161,13 @@ def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD) -> Data
     led = members.select(F.col("low").alias("a"), F.col("nk").alias("b")).where("a <> b").unionByName(members.select(F.col("nk").alias("a"), F.col("high").alias("b")).where("a <> b")).distinct()
     first = cut(verified(led))
     good = first.where("ok")
-    low_ok = good.select(F.col("a").alias("low"), F.col("b").alias("nk"))
-    high_ok = good.select(F.col("a").alias("nk"), F.col("b").alias("high"))
-    rest = members.where("nk <> low AND nk <> high").join(low_ok, ["low", "nk"], "left_anti").join(high_ok, ["nk", "high"], "left_anti").select("bh", "nk")
-    rest = cut(rest)
-    other = rest.select("bh", F.col("nk").alias("a")).join(rest.select("bh", F.col("nk").alias("b")), "bh").where("a < b").select("a", "b").distinct()
-    edges = good.select("a", "b").unionByName(verified(other).where("ok").select("a", "b"))
+    linked = cut(connected_components(good.select("a", "b")))
+    placed = members.select("bh", "nk").join(linked.withColumnRenamed("node", "nk"), "nk", "left").withColumn("root", F.coalesce("root", "nk"))
+    mixed = cut(placed.withColumns({"least": F.min("root").over(bucket), "most": F.max("root").over(bucket)}).where("least <> most").select("bh", "nk", "root"))
+    left = mixed.select("bh", F.col("nk").alias("a"), F.col("root").alias("ra"))
+    right = mixed.select("bh", F.col("nk").alias("b"), F.col("root").alias("rb"))
+    other = left.join(right, "bh").where("a < b AND ra <> rb").select("a", "b").distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
+    edges = linked.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(other).where("ok").select("a", "b"))
     found = connected_components(edges)
 
     rows = slim.groupBy("nk").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("copies"))

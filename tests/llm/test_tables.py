@@ -169,6 +169,35 @@ def test_near_duplicates_are_found_and_others_left(spark):
     assert {(x["doc_id"], x["group_id"]) for x in got} == {(3 * k + j, 3 * k) for k in range(40) for j in (0, 1)}
 
 
+def test_near_duplicates_of_divergent_copies_against_all_pairs(spark):
+    """Large groups whose copies differ from their base by other edits each, all from one template."""
+    r = np.random.default_rng(23)
+    template, texts = [f"t{v}" for v in range(120)], []
+    for g in range(20):
+        base = list(template)
+        for p in r.choice(120, 9, False):
+            base[p] = f"g{g}_{p}"
+        for k in range(20):
+            copy = list(base)
+            for p in r.choice(120, 9 if k else 0, False):
+                copy[p] = f"c{g}_{k}_{p}"
+            texts.append(" ".join(copy))
+    data, n = "".join(texts).encode(), len(texts)
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    registers = near_dedup.superminhash(*near_dedup.shingles(np.frombuffer(data, np.uint8), offs), n)
+    low, bands = near_dedup.tv.mix(registers.astype(np.uint64)).astype(np.uint8), near_dedup.band_hashes(registers)
+    root = list(range(n))
+    for i in range(n):
+        alike = ((low[i] == low[i + 1 :]).mean(1) - 1 / 256) / (1 - 1 / 256) >= near_dedup.THRESHOLD
+        for j in (np.flatnonzero(alike & (bands[i] == bands[i + 1 :]).any(1)) + i + 1).tolist():
+            if root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    want = {(k, x) for k, x in enumerate(root) if root.count(x) > 1}
+    got = near_dedup.near_duplicate_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(x["doc_id"], x["group_id"]) for x in got} == want
+
+
 def test_tokens_round_trip(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     enc = token_output.encoder()
