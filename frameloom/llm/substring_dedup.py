@@ -35,6 +35,73 @@ def windows(data: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return row[: len(h)][inside], place[: len(h)][inside], h[inside]
 
 
+def around(data: np.ndarray, offs: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of ``n`` words, and a hash of where each stands in the words that runs of ``least`` words through it can hold."""
+    row, start, end = tv.spans(data, offs, tv.SOLID_BYTE)
+    if not len(row):
+        return row, row, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    codes = tv.span_hashes(data, start, end)
+    h = tv.window_hashes(codes, n)
+    first = np.searchsorted(row, row)
+    at = np.flatnonzero(row[: len(h)] == row[n - 1 :][: len(h)])
+    low, high = np.maximum(at - (least - n), first[at]), np.minimum(at + least, np.searchsorted(row, row, "right")[at])
+    total = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * tv.powers(len(codes), "up"), dtype=np.uint64, out=total[1:])
+    context = tv.mix((total[high] - total[low]) * tv.powers(len(codes) + 1, "down")[low] + tv.mix(((at - low) * 2 * least + high - low).astype(np.uint64)))
+    return row[at], (at - first[at]), h[at], context
+
+
+def _long_windows(n: int, least: int, wanted):
+    """(row, place, hash) of the runs of ``least`` words that hold a window of ``n`` words in the filter ``wanted``; all without one."""
+
+    def extract(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for i, j, data, offs in tv.slices(batch.column("text")):
+            row, start, end = tv.spans(data, offs, tv.SOLID_BYTE)
+            codes = tv.span_hashes(data, start, end)
+            h = tv.window_hashes(codes, least)
+            if not len(h):
+                continue
+            some = row[: len(h)] == row[least - 1 :][: len(h)]
+            if wanted is not None:
+                hit = np.concatenate([[0], np.cumsum(bloom.contains(wanted.value, tv.window_hashes(codes, n)))])
+                some &= hit[least - n + 1 :][: len(h)] > hit[: len(h)]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            ids = pa.array(row[: len(h)][some])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[some].view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place[: len(h)][some].astype(np.int32))], ["h", "doc_id", "nk", "pos"]
+            )
+
+    return lambda batches: (out for batch in batches for out in extract(batch))
+
+
+def _unsettled(least: int):
+    """Windows of ``least`` words that no reported passage of their document holds, one for each run of them on a diagonal."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["nk", "ref", "doc_id", "ref_id", "pos", "ref_pos"]
+        for batch in batches:
+            rows = []
+            for nk, doc, wins, done in zip(batch.column("nk").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("wins"), batch.column("done")):
+                pos, ref, ref_pos = (wins.values.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "ref", "ref_pos"))
+                ref_id = wins.values.field("ref_id")
+                some = np.ones(len(pos), bool)
+                if done.values is not None and len(done.values):
+                    a, b = (done.values.field(c).to_numpy() for c in ("a", "b"))
+                    order = np.argsort(a, kind="stable")
+                    a, b = a[order], np.maximum.accumulate(b[order])
+                    k = np.searchsorted(a, pos, "right") - 1
+                    some = (k < 0) | (b[np.maximum(k, 0)] < pos + least)
+                at = np.flatnonzero(some)
+                at = at[np.lexsort((pos[at], pos[at] - ref_pos[at], ref[at]))]
+                new = np.ones(len(at), bool)
+                new[1:] = (ref[at][1:] != ref[at][:-1]) | (np.diff(pos[at]) != 1) | (np.diff(ref_pos[at]) != 1)
+                rows += [(nk, int(ref[x]), doc, ref_id[x].as_py(), int(pos[x]), int(ref_pos[x])) for x in at[new].tolist()]
+            cols = list(zip(*rows)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if "pos" in name else pa.int64()) for c, name in zip(cols, names)], names)
+
+    return run
+
+
 def _block_hashes(n: int):
     def extract(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, _, data, offs in tv.slices(batch.column("text")):
@@ -45,24 +112,24 @@ def _block_hashes(n: int):
     return extract
 
 
-def _probe(n: int, shared):
-    """Blocks, and windows that may equal a block elsewhere, as (h, doc_id, nk, pos, block)."""
+def _probe(n: int, least: int, shared):
+    """Blocks, and windows that may equal a block elsewhere, as (h, doc_id, nk, pos, context, block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in tv.slices(batch.column("text")):
-                row, place, h = windows(data, offs, n)
+                row, place, h, context = around(data, offs, n, least)
                 if not len(h):
                     continue
                 block = place % n == 0
                 if shared is not None:
                     once, twice = shared.value
                     seen = np.where(block, bloom.contains(twice, h), bloom.contains(once, h))
-                    row, place, h, block = row[seen], place[seen], h[seen], block[seen]
+                    row, place, h, context, block = row[seen], place[seen], h[seen], context[seen], block[seen]
                 ids = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place.astype(np.int32)), pa.array(block)],
-                    ["h", "doc_id", "nk", "pos", "block"],
+                    [pa.array(h.view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place.astype(np.int32)), pa.array(context.view(np.int64)), pa.array(block)],
+                    ["h", "doc_id", "nk", "pos", "context", "block"],
                 )
 
     return run
@@ -114,9 +181,9 @@ def _extend(min_words: int):
                 pairs = np.stack([anchors.field(c).to_numpy() for c in ("pos", "ref_pos")], axis=1)
                 for p, q, n in extend(a, b, pairs, min_words):
                     if (x, p) != (r, q):
-                        rows.append((x_id[k], int(a0[p]), int(a1[p + n - 1]), n, r_id[k], int(b0[q]), int(b1[q + n - 1])))
-            cols = list(zip(*rows)) or [[]] * 7
-            names = ["doc_id", "start", "end", "n_words", "ref_doc_id", "ref_start", "ref_end"]
+                        rows.append((x_id[k], int(a0[p]), int(a1[p + n - 1]), n, r_id[k], int(b0[q]), int(b1[q + n - 1]), x, p))
+            cols = list(zip(*rows)) or [[]] * 9
+            names = ["doc_id", "start", "end", "n_words", "ref_doc_id", "ref_start", "ref_end", "nk", "first"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "n_words" else pa.int64()) for c, n in zip(cols, names)], names)
 
     return run
@@ -129,8 +196,10 @@ def exact_repeats(docs: DataFrame, min_words: int = MIN_WORDS, limit: int = FILT
     stands in an earlier document or earlier in the same one; it is as long as both places agree. Starts and
     ends count characters. Earlier means a lesser doc_id (null last; ties by row key), then a lesser position.
     Of the places where a block of (min_words + 1) // 2 words stands at a multiple of that length, the earliest
-    is the reference; every run of ``min_words`` words holds such a block of its earlier place, so each later
-    place of a passage is reported, with the earliest reference of each of its blocks.
+    is the first reference; every run of ``min_words`` words holds such a block of its earlier place. Where the
+    places of a block stand among different words, the runs of ``min_words`` words through it are compared
+    themselves: one that stood before and that no passage so far holds is extended against its earliest place.
+    So each run of ``min_words`` words that stood before, anywhere, lies within a reported passage.
 
     Rows that agree in doc_id and text are one document, reported once. Null, empty and short texts have no
     passages; a null doc_id is reported as null. Texts of any length are read whole. An empty table gives
@@ -149,34 +218,57 @@ def exact_repeats(docs: DataFrame, min_words: int = MIN_WORDS, limit: int = FILT
     shared = None
     if 8 * size <= limit:
         shared = docs.sparkSession.sparkContext.broadcast(bloom.filters(slim.select("text"), _block_hashes(n), size))
-    seen = slim.mapInArrow(_probe(n, shared), "h long, doc_id long, nk long, pos int, block boolean")
+    found = "h long, doc_id long, nk long, pos int, context long"
+    seen = slim.mapInArrow(_probe(n, min_words, shared), f"{found}, block boolean")
     if shared is None:
-        blocks = slim.mapInArrow(_probe(n, None), "h long, doc_id long, nk long, pos int, block boolean").where("block")
+        blocks = slim.mapInArrow(_probe(n, min_words, None), f"{found}, block boolean").where("block")
     else:
         # blocks whose hash is seen once are missed by the second filter, yet windows may equal them
-        blocks = slim.mapInArrow(_blocks(n), "h long, doc_id long, nk long, pos int")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos")
-    first = blocks.groupBy("h").agg(F.min(place).alias("r"))
-    here = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos")
+        blocks = slim.mapInArrow(_blocks(n, min_words), found)
+    here = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos", "context")
+    first = blocks.groupBy("h").agg(F.min(here).alias("r"), (F.min("context") != F.max("context")).alias("several"))
     hits = seen.join(first, "h").where(F.col("r") < here)
     pairs = hits.groupBy("nk", F.col("r.nk").alias("ref")).agg(
-        F.first("doc_id").alias("doc_id"), F.first("r.doc_id").alias("ref_id"), F.collect_list(F.struct("pos", F.col("r.pos").alias("ref_pos"))).alias("anchors")
-    )
+        F.first("doc_id").alias("doc_id"), F.first("r.doc_id").alias("ref_id"), F.collect_list(F.struct("pos", F.col("r.pos").alias("ref_pos"))).alias("anchors"),
+        F.collect_set(F.when(F.col("several") & (F.col("context") != F.col("r.context")), F.col("h"))).alias("open"),
+    )
     pairs = cut(pairs)
     text = slim.select("nk", "text")
-    both = pairs.join(text.withColumnRenamed("text", "x_text"), "nk").join(text.withColumnsRenamed({"nk": "ref", "text": "r_text"}), "ref")
-    return both.select("doc_id", "ref_id", "nk", "ref", "x_text", "r_text", "anchors").mapInArrow(_extend(min_words), REPEATS).distinct()
+
+    def extended(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(text.withColumnRenamed("text", "x_text"), "nk").join(text.withColumnsRenamed({"nk": "ref", "text": "r_text"}), "ref")
+        return both.select("doc_id", "ref_id", "nk", "ref", "x_text", "r_text", "anchors").mapInArrow(_extend(min_words), f"{REPEATS}, nk long, first long").distinct()
+
+    columns = [c.split()[0] for c in REPEATS.split(", ")]
+    passages = extended(pairs)
+    open_blocks = pairs.select(F.explode("open").alias("h"))
+    n_open = open_blocks.agg(F.approx_count_distinct("h").alias("n")).first()["n"]
+    if not n_open:
+        return passages.select(*columns).distinct()
+    passages = cut(passages)
+    size, wanted = bloom.n_words(2 * n_open), None
+    if 8 * size <= limit:
+        wanted = docs.sparkSession.sparkContext.broadcast(bloom.filters(open_blocks, lambda batch: [batch.column("h").to_numpy().view(np.uint64)], size)[0])
+    here = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos")
+    runs = slim.mapInArrow(_long_windows(n, min_words, wanted), "h long, doc_id long, nk long, pos int")
+    earliest = runs.groupBy("h").agg(F.min(here).alias("r"), F.max(here).alias("last")).where("r < last").select("h", "r")
+    again = runs.join(earliest, "h").where(F.col("r") < here)
+    wins = again.groupBy("nk").agg(F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("pos", F.col("r.nk").alias("ref"), F.col("r.doc_id").alias("ref_id"), F.col("r.pos").alias("ref_pos"))).alias("wins"))
+    done = passages.groupBy("nk").agg(F.collect_list(F.struct(F.col("first").alias("a"), (F.col("first") + F.col("n_words")).alias("b"))).alias("done"))
+    left = wins.join(done, "nk", "left").mapInArrow(_unsettled(min_words), "nk long, ref long, doc_id long, ref_id long, pos int, ref_pos int")
+    more = left.groupBy("nk", "ref").agg(F.first("doc_id").alias("doc_id"), F.first("ref_id").alias("ref_id"), F.collect_list(F.struct("pos", "ref_pos")).alias("anchors"))
+    return passages.unionByName(extended(cut(more))).select(*columns).distinct()
 
 
-def _blocks(n: int):
+def _blocks(n: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in tv.slices(batch.column("text")):
-                row, place, h = windows(data, offs, n)
+                row, place, h, context = around(data, offs, n, least)
                 own = place % n == 0
                 ids = pa.array(row[own])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[own].view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place[own].astype(np.int32))], ["h", "doc_id", "nk", "pos"]
+                    [pa.array(h[own].view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place[own].astype(np.int32)), pa.array(context[own].view(np.int64))], ["h", "doc_id", "nk", "pos", "context"]
                 )
 
     return run

@@ -146,6 +146,34 @@ def test_repeats_brute_force(spark):
         assert {(x["doc_id"], place[x["doc_id"]][x["start"]], x["ref_doc_id"], place[x["ref_doc_id"]][x["ref_start"]], x["n_words"]) for x in rows} == want
 
 
+@pytest.mark.parametrize("limit", [substring_dedup.FILTER_BYTES, 0])
+def test_every_run_that_stood_before_is_in_a_passage(spark, limit):
+    """Against all places of all documents: a common phrase inside of longer passages, and passages that end differently."""
+    r = np.random.default_rng(31)
+    q = [f"q{k}" for k in range(25)]
+    passage = [f"a{k}" for k in range(13)] + q + [f"b{k}" for k in range(22)]
+    texts = [q + ["x"] * 40, [f"y{k}" for k in range(12)] + passage, ["z"] * 7 + passage]
+    small = [f"s{k}" for k in range(6)]
+    for d in range(30):
+        own = [f"o{d}_{k}" for k in range(int(r.integers(0, 6)))]
+        texts.append(own + [f"l{r.integers(3)}_{k}" for k in range(int(r.integers(0, 8)))][::-1] + small + [f"m{r.integers(3)}_{k}" for k in range(3)] + small[: int(r.integers(0, 6))])
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    place = {k: {m.start(): i for i, m in enumerate(re.finditer(r"\S+", " ".join(t)))} for k, t in enumerate(texts)}
+    for least in (50, 8):
+        got = [(x["doc_id"], place[x["doc_id"]][x["start"]], x["ref_doc_id"], place[x["ref_doc_id"]][x["ref_start"]], x["n_words"]) for x in substring_dedup.exact_repeats(docs, least, limit).collect()]
+        assert len(got) == len(set(got))
+        for d, a, o, b, size in got:
+            t, u = texts[d], texts[o]
+            assert (o, b) < (d, a) and size >= least and t[a : a + size] == u[b : b + size]
+            assert not (a and b and t[a - 1] == u[b - 1]) and not (a + size < len(t) and b + size < len(u) and t[a + size] == u[b + size])
+        seen = set()
+        for d, t in enumerate(texts):
+            for s in range(len(t) - least + 1):
+                run = tuple(t[s : s + least])
+                assert run not in seen or any(x[0] == d and x[1] <= s and s + least <= x[1] + x[4] for x in got), (d, s)
+                seen.add(run)
+
+
 def test_decontamination_brute_force(spark):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     simple = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
