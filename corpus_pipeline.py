@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from frameloom.llm import decontam, mixing, near_dedup, token_output, toxicity
-from frameloom.llm.common import shared_dir, table
+from frameloom.llm.common import cut, shared_dir, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,8 +35,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed token ids of each document, in the order of the files."""
-    return token_output.packed_tokens(docs)
+    """Packed token ids of each document in training order; ``place`` numbers it from 0.
+
+    The order is that of the rows in the files that ``docs`` was read from, by part number. Spark reads
+    large files first, so rows are numbered by file and row before they are packed, and sorted after.
+    """
+    file = F.col("_metadata.file_name")
+    part = F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long")
+    counts = cut(docs.groupBy(file.alias("file")).agg(F.count("*").alias("n")))
+    starts = counts.select("file", (F.sum("n").over(Window.orderBy(part, "file")) - F.col("n")).alias("start"))
+    total = counts.agg(F.sum("n").alias("n")).first()["n"] or 1
+    rows = docs.select("doc_id", "text", file.alias("file"), F.col("_metadata.row_index").alias("row"))
+    placed = rows.join(F.broadcast(starts), "file").withColumn("place", F.col("start") + F.col("row"))
+    packed = token_output.packed_tokens(placed, place="place")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return packed.repartitionById(parts, F.expr(f"CAST(place * {parts} DIV {total} AS INT)")).sortWithinPartitions("place")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -168,7 +168,7 @@ def tokens(text: str, enc) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _pack(vocabulary: str, block: int):
+def _pack(vocabulary: str, block: int, place: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         none = np.zeros(0, _U64)
@@ -184,19 +184,20 @@ def _pack(vocabulary: str, block: int):
                 relative = (offsets[np.minimum(pos, len(offsets) - 1)] - first).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        *(batch.column(c).slice(i, j - i) for c in place),
                         batch.column("doc_id").slice(i, j - i),
                         pa.array(sizes, mask=np.asarray(texts.is_null())),
                         pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((np.concatenate([[0], np.cumsum(per)]) * 8).astype(np.int32)), pa.py_buffer(words.astype("<u8"))]),
                         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(blocks + 1)]).astype(np.int32)), pa.array(relative)),
                     ],
-                    ["doc_id", "n_tokens", "words", "block_offsets"],
+                    [*place, "doc_id", "n_tokens", "words", "block_offsets"],
                 )
 
     return run
 
 
-def packed_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_tokens, words, block_offsets) for each row of ``docs``, in their order.
+def packed_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, block: int = BLOCK, place: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, words, block_offsets) for each row of ``docs``, in their order; before them the number ``place``, if named.
 
     ``words`` are little-endian 64-bit Simple-8b words; ``block_offsets`` has the first
     word of each block of ``block`` ids and the number of words, so that any block
@@ -208,5 +209,6 @@ def packed_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, block: int = BL
     executor can read.
     """
     require(docs, "doc_id", "text")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return slim.mapInArrow(_pack(vocabulary, block), "doc_id long, n_tokens long, words binary, block_offsets array<int>")
+    kept = [place] if place else []
+    slim = docs.select(*(F.col(c).cast("long").alias(c) for c in kept), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return slim.mapInArrow(_pack(vocabulary, block, kept), "".join(f"{c} long, " for c in kept) + "doc_id long, n_tokens long, words binary, block_offsets array<int>")

@@ -284,5 +284,29 @@ def test_pipeline_stages(spark, odd, labels, benchmark):
         assert stage(odd.where("false")).count() == 0
 
 
+def test_training_order_reaches_the_packed_output(spark, tmp_path):
+    """Later files are larger, so Spark reads them first; part 100000 follows part 99999."""
+    import corpus_pipeline
+
+    sizes = {"part-00000-x": 3, "part-00002-x": 40, "part-99999-x": 90, "part-100000-x": 200}
+    ids = iter(range(1000, 0, -1))
+    want = []
+    for name, n in sizes.items():
+        rows = [(next(ids), "some words " * 30) for _ in range(n)]
+        want += [r[0] for r in rows]
+        spark.createDataFrame(rows, DOCS.split(", lang")[0]).coalesce(1).write.parquet(f"{tmp_path}/one")
+        (found,) = (tmp_path / "one").glob("part-*.parquet")
+        found.rename(tmp_path / f"{name}.parquet")
+        for left in (tmp_path / "one").iterdir():
+            left.unlink()
+        (tmp_path / "one").rmdir()
+    docs = spark.read.parquet(*(f"{tmp_path}/{name}.parquet" for name in sizes))
+    out = corpus_pipeline.pack_tokens(spark, docs, SF)
+    assert [(r["place"], r["doc_id"]) for r in out.collect()] == list(enumerate(want))
+    out.write.parquet(f"{tmp_path}/out")
+    assert [r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("place").collect()] == want
+    assert corpus_pipeline.pack_tokens(spark, docs.where("false"), SF).count() == 0
+
+
 def test_registry():
     assert set(queries.QUERIES) <= set(entry.queries()) and set(queries.ORACLE_SQL) <= set(entry.oracle_sql()) and "pipeline" in entry.queries()
