@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import cut, fresh, require, row_key
+from frameloom.llm.common import cut, every, fresh, lean, named, require, row_key
 
 #: Labelled documents from which seeds and the threshold are fitted, at most (those of least hash).
 MAX_LABELS = 20_000
-#: Seed terms of each polarity, at most.
-SEEDS = 512
 #: Labelled documents of a toxic seed among whose words its clean counterpart is looked for.
 PER_SEED = 20
 #: Chance that any seed at all is none: a bound for all terms together.
 SEED_ERROR = 0.05
 CHUNK = 100
+#: Words on each side of a seed by which copied passages are known.
+BESIDE = 2
+#: (word, seed) rows that a task holds, and pairs that it makes at a time.
+HELD_ROWS, PAIRS = 1_000_000, 200_000
 MIN_SUPPORT = 3
 RESTART = 0.2
 #: Standard deviations by which a pair must exceed the expected count.
@@ -29,6 +31,12 @@ CHANCE = 4.0
 POLARITY = 0.5
 #: Bytes of a lexicon that is sent to every executor; a larger one is joined.
 LEXICON_BYTES = 64 << 20
+#: Bytes of the list of copied places of seeds that is sent to every executor; a longer one is joined.
+COPIES_BYTES = 32 << 20
+#: Seeds for which the matrix of the walk is held; for more, each step goes over the graph.
+GRAM_SEEDS = 2048
+#: Difference from a count of chunks, which sums fractions.
+TINY = 1e-9
 _U64 = np.uint64
 
 
@@ -58,6 +66,7 @@ def _list(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
 
 
+@lean
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, offs in tv.slices(batch.column("text")):
@@ -84,8 +93,8 @@ def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> Dat
     return cut(joined.select("nk", "text", "toxic").mapInArrow(_features, "nk long, toxic int, m1 long, m2 long, words array<long>"))
 
 
-def seed_terms(sample: DataFrame, seeds: int = SEEDS, error: float = SEED_ERROR) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of seed terms: those that labels mark as toxic most clearly, and for each a clean term.
+def seed_terms(sample: DataFrame, error: float = SEED_ERROR) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of seed terms: all that labels mark clearly as toxic, and for each a clean term.
 
     A toxic term stands in more toxic documents than clean ones, and so many that the chance of it (Chernoff's bound
     for a term without polarity) times the number of terms is at most ``error``. The clean term is as usual
@@ -106,113 +115,193 @@ def seed_terms(sample: DataFrame, seeds: int = SEEDS, error: float = SEED_ERROR)
     far = "a * ln(share / rate) + CASE WHEN share < 1 THEN (n - a) * ln((1 - share) / (1 - rate)) ELSE 0D END"
     terms = cut(terms.withColumns({"g": F.when(F.col("share") > F.col("rate"), F.expr(far)).otherwise(0.0), "z": F.expr("(a - n * rate) / sqrt(n * rate * (1 - rate))")}))
     bound = float(np.log(max(1, terms.count()) / error))
-    bad = terms.where((F.col("g") >= bound) & (F.col("share") > 0.5)).orderBy(F.desc("g"), "w").limit(seeds).select("w", "n")
-    chosen = bad.toPandas()
+    bad = terms.where((F.col("g") >= bound) & (F.col("share") > 0.5)).select("w", "n")
+    chosen = bad.toPandas()  # terms of at most ``limit`` labelled documents
     if chosen.empty:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found = F.array_intersect("words", F.lit(chosen.w.tolist()).cast("array<long>"))
-    near = once.select("nk", F.explode(found).alias("seed"))
+    sizes = cut(bad.select(F.col("w").alias("seed"), F.col("n").alias("seed_n")))
+    near = once.select("nk", F.explode("words").alias("seed")).join(F.broadcast(sizes), "seed", "left_semi")  # as many rows as seeds
     some = near.withColumn("r", F.row_number().over(Window.partitionBy("seed").orderBy("nk"))).where(F.col("r") <= PER_SEED)
     some = once.join(F.broadcast(some.select("nk", "seed")), "nk")  # of at most ``PER_SEED`` rows a seed
-    sizes = sample.sparkSession.createDataFrame(chosen.rename(columns={"w": "seed", "n": "seed_n"})[["seed", "seed_n"]])
     pairs = some.select("seed", F.explode("words").alias("w")).distinct().join(terms.where(F.abs("z") < 1).select("w", "n"), "w").join(F.broadcast(sizes), "seed")
     first = Window.partitionBy("seed").orderBy(F.abs(F.log(F.col("n") / F.col("seed_n"))), F.xxhash64("w", "seed"))
     good = pairs.withColumn("r", F.row_number().over(first)).where("r = 1").select("w").distinct()
     return np.sort(chosen.w.to_numpy(np.int64)), np.sort(good.toPandas().w.to_numpy(np.int64))
 
 
+def chunks(row: np.ndarray, size: int = CHUNK) -> np.ndarray:
+    """Number of the chunk of each word: ``size`` words of a row, or what is left of it."""
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return np.cumsum(place % size == 0) - 1
+
+
+class _Seeds:
+    """Seed terms and the places where they stand."""
+
+    def __init__(self, seeds: np.ndarray) -> None:
+        self.order = np.argsort(seeds)
+        self.seeds, self.ranked = seeds, seeds[self.order]
+
+    def places(self, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, seed, key) of each; the key is a hash of the words around it, which copies share."""
+        if not len(self.ranked) or not len(h):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.ranked, h), len(self.ranked) - 1)
+        hit = np.flatnonzero(self.ranked[at] == h)
+        key = np.zeros(len(hit), _U64)
+        for k in range(-BESIDE, BESIDE + 1):
+            other = np.clip(hit + k, 0, len(h) - 1)
+            key = tv.mix(key + np.where(row[other] == row[hit], h[other].view(_U64), _U64(0)))
+        return hit, self.order[at[hit]], key.view(np.int64)
+
+
+def _seed_keys(seeds: np.ndarray, placed: bool):
+    """Rows (key, n) of the places of seeds, or with ``placed`` (nk, pos, key) of each."""
+    found = _Seeds(seeds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offs in tv.slices(batch.column("text")):
+                row, h = words(data, offs)
+                hit, _, key = found.places(row, h)
+                if not len(hit):
+                    continue
+                if placed:
+                    pos = hit - np.searchsorted(row, row[hit])
+                    yield pa.RecordBatch.from_arrays([batch.column("nk").slice(i, j - i).take(pa.array(row[hit])), pa.array(pos.astype(np.int32)), pa.array(key)], ["nk", "pos", "key"])
+                else:
+                    u, n = np.unique(key, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n)], ["key", "n"])
+
+    return lean(run)
+
+
 class _Counts:
-    """Sums of counts and unions of bits by (word, seed), kept within a bounded number of pending rows."""
+    """Sums of counts by (word, seed) in bounded memory: what grows beyond it is put out as partial sums."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int = HELD_ROWS) -> None:
         self.rows: list[tuple[np.ndarray, ...]] = []
-        self.pending = 0
+        self.held, self.most = 0, most
 
-    def add(self, w: np.ndarray, s: np.ndarray, n: np.ndarray, bits: np.ndarray) -> None:
-        self.rows.append((w, s, n, bits))
-        self.pending += len(w)
-        if self.pending > 4_000_000:
+    def add(self, w: np.ndarray, s: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.rows.append((w, s, n))
+        self.held += len(w)
+        if self.held > self.most:
             self.fold()
+            if self.held > self.most // 2:
+                yield from self.flush()
 
     def fold(self) -> None:
         if not self.rows:
             return
-        w, s, n, bits = (np.concatenate(c) for c in zip(*self.rows))
+        w, s, n = (np.concatenate(c) for c in zip(*self.rows))
+        self.rows = []
         order = np.argsort(tv.mix(w.view(_U64)) + (s + 2).astype(_U64))  # rows of a word stand together, which compresses well
-        w, s, n, bits = w[order], s[order], n[order], bits[order]
+        w, s, n = w[order], s[order], n[order]
         new = np.ones(len(w), bool)
         new[1:] = (w[1:] != w[:-1]) | (s[1:] != s[:-1])
         at = np.flatnonzero(new)
-        self.rows = [(w[at], s[at], np.add.reduceat(n, at), np.bitwise_or.reduceat(bits, at))] if len(at) else []
-        self.pending = -len(at)
+        self.rows = [(w[at], s[at], np.add.reduceat(n, at))] if len(at) else []
+        self.held = len(at)
 
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        self.fold()
+        for w, s, n in self.rows:
+            for k in range(0, len(w), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (w, s, n)], ["w", "s", "n"])
+        self.rows, self.held = [], 0
 
-def _cooccur(seeds: np.ndarray, chunk: int):
-    """Rows (w, s, n, bits): chunks with word w (s = -1), with w and seed s, and all (s = -2, w = 0).
 
-    ``bits`` has a bit by the hash of the words beside the seed, so that copies set the same one.
+def _cooccur(seeds: np.ndarray, chunk: int, copies):
+    """Rows (w, s, n): chunks with word w (s = -1), all (s = -2, w = 0), weights of seed w (s = -3), weights of w and seed s together.
+
+    A seed weighs 1 / the number of places with its key: by the broadcast ``copies`` or by the column ``copied`` of (pos, n).
     """
-    order = np.argsort(seeds)
-    ranked = seeds[order]
+    found = _Seeds(seeds)
+
+    def weights(key: np.ndarray, row: np.ndarray, pos: np.ndarray, copied: pa.Array | None) -> np.ndarray:
+        if copied is None:
+            keys, times = copies.value
+            if not len(keys):
+                return np.ones(len(key))
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return np.where(keys[at] == key, 1.0 / times[at], 1.0)
+        flat = copied.flatten()
+        own = np.repeat(np.arange(len(copied)), copied.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        known = own << 32 | flat.field("pos").to_numpy(zero_copy_only=False)
+        times = flat.field("n").to_numpy(zero_copy_only=False)
+        order = np.argsort(known)
+        known, times = known[order], times[order]
+        if not len(known):
+            return np.ones(len(key))
+        want = row << 32 | pos
+        at = np.minimum(np.searchsorted(known, want), len(known) - 1)
+        return np.where(known[at] == want, 1.0 / times[at], 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = _Counts(), 0
         for batch in batches:
-            for _, _, data, offs in tv.slices(batch.column("text")):
+            for i, j, data, offs in tv.slices(batch.column("text")):
                 row, h = words(data, offs)
                 if not len(row):
                     continue
-                first = np.searchsorted(row, np.arange(len(offs) - 1))
-                place = np.arange(len(row)) - first[row]
-                per = -(-np.bincount(row, minlength=len(offs) - 1) // chunk)
-                part = (np.cumsum(per) - per)[row] + place // chunk
-                total += int(per.sum())
+                part = chunks(row, chunk)
+                total += int(part[-1]) + 1
                 c, w = distinct_pairs(part, h)
-                u, k = np.unique(w, return_counts=True)
-                counts.add(u, np.full(len(u), -1, np.int32), k.astype(np.int64), np.zeros(len(u), np.int64))
-                if not len(ranked):
-                    continue
-                at = np.searchsorted(ranked, h)
-                hit = np.flatnonzero(ranked[np.minimum(at, len(ranked) - 1)] == h)
+                u, n = np.unique(w, return_counts=True)
+                yield from counts.add(u, np.full(len(u), -1, np.int32), n.astype(float))
+                hit, hs, key = found.places(row, h)
                 if not len(hit):
                     continue
-                near = tv.mix(h[np.maximum(hit - 1, 0)].view(_U64) + tv.mix(h[np.minimum(hit + 1, len(h) - 1)].view(_U64))) >> _U64(58)
-                hc, hs = part[hit], order[at[hit]]
+                weight = weights(key, row[hit], hit - np.searchsorted(row, row[hit]), None if copies is not None else batch.column("copied").slice(i, j - i))
+                order = np.lexsort((-weight, hs, part[hit]))  # of a seed that stands twice in a chunk the greater weight counts
+                hc, hs, weight = part[hit][order], hs[order], weight[order]
+                new = np.ones(len(hc), bool)
+                new[1:] = (hc[1:] != hc[:-1]) | (hs[1:] != hs[:-1])
+                hc, hs, weight = hc[new], hs[new], weight[new]
+                yield from counts.add(seeds[hs], np.full(len(hs), -3, np.int32), weight)
                 lo, hi = np.searchsorted(c, hc), np.searchsorted(c, hc, "right")
-                size = hi - lo
-                which = np.repeat(np.arange(len(hit)), size)
-                pos = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + lo[which]
-                pw, ps, pc = w[pos], hs[which], hc[which]
-                # a seed that stands twice in a chunk counts once
-                key = np.lexsort((ps, pw, pc))
-                pw, ps, pc, pb = pw[key], ps[key].astype(np.int32), pc[key], (_U64(1) << near[which[key]]).view(np.int64)
-                new = np.ones(len(pw), bool)
-                new[1:] = (pw[1:] != pw[:-1]) | (ps[1:] != ps[:-1]) | (pc[1:] != pc[:-1])
-                other = pw != seeds[ps]
-                counts.add(pw[other], ps[other], new[other].astype(np.int64), pb[other])
-        counts.fold()
-        empty = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        w, s, n, bits = counts.rows[0] if counts.rows else empty
-        w, s, n, bits = np.append(w, 0), np.append(s, np.int32(-2)), np.append(n, total), np.append(bits, 0)
-        for k in range(0, len(w), 200_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 200_000]) for x in (w, s.astype(np.int32), n, bits)], ["w", "s", "n", "bits"])
-
-    return run
-
-
-def cooccurrence(docs: DataFrame, seeds: np.ndarray, chunk: int = CHUNK) -> DataFrame:
-    """(w, n, total, near): for each word the chunks it is in, and for each seed near it how often."""
-    counted = docs.select(F.lower("text").alias("text")).where("text IS NOT NULL").mapInArrow(_cooccur(seeds, chunk), "w long, s int, n long, bits long")
-    summed = counted.repartition("w").groupBy("w", "s").agg(F.sum("n").alias("n"), F.bit_or("bits").alias("bits"))
-    ones = F.bit_count("bits")
-    # linear counting of distinct surroundings; counts beyond what 64 bits resolve stay as they are
-    seen = F.when(ones >= 60, F.col("n").cast("double")).otherwise(F.least(F.col("n").cast("double"), F.lit(-64.0) * F.log(F.lit(1.0) - ones / 64)))
-    near = F.when(F.col("s") >= 0, F.struct("s", seen.alias("n")))
-    return summed.groupBy("w").agg(
-        F.coalesce(F.sum(F.when(F.col("s") == -1, F.col("n"))), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("s") == -2, F.col("n"))), F.lit(0)).alias("total"),
-        F.collect_list(near).alias("near"),
-    )
+                ends = np.cumsum(hi - lo)
+                a = 0
+                while a < len(hc):
+                    b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PAIRS, "right")))
+                    size = (hi - lo)[a:b]
+                    which = np.repeat(np.arange(a, b), size)
+                    pos = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + lo[which]
+                    other = w[pos] != seeds[hs[which]]
+                    which, pos = which[other], pos[other]
+                    yield from counts.add(w[pos], hs[which].astype(np.int32), weight[which])
+                    a = b
+        yield from counts.add(np.zeros(1, np.int64), np.full(1, -2, np.int32), np.array([float(total)]))
+        yield from counts.flush()
+
+    return lean(run)
+
+
+def cooccurrence(docs: DataFrame, seeds: np.ndarray, chunk: int = CHUNK, limit: int = COPIES_BYTES) -> DataFrame:
+    """(w, n, total, own, near): for each word the chunks it is in, its weight as a seed, and for each seed near it how often.
+
+    Places of a seed that agree in the words around it, as those of copied passages do, weigh as one together.
+    The list of such places is sent if it has at most ``limit`` bytes; else it is joined with the documents, with the same result.
+    """
+    slim = docs.select(row_key().alias("nk"), F.lower("text").alias("text")).where("text IS NOT NULL")
+    copied = cut(slim.select("text").mapInArrow(_seed_keys(seeds, False), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1"))
+    schema = "w long, s int, n double"
+    if 16 * copied.count() <= limit:
+        got = copied.toPandas().sort_values("key")
+        shared = docs.sparkSession.sparkContext.broadcast((got.key.to_numpy(np.int64), got.n.to_numpy(np.float64)))
+        counted = slim.select("text").mapInArrow(_cooccur(seeds, chunk, shared), schema)
+    else:
+        of = slim.mapInArrow(_seed_keys(seeds, True), "nk long, pos int, key long").distinct().join(copied, "key")
+        of = of.groupBy("nk").agg(F.collect_list(F.struct("pos", F.col("n").cast("double").alias("n"))).alias("copied"))
+        counted = slim.join(of, "nk", "left").select("text", "copied").mapInArrow(_cooccur(seeds, chunk, None), schema)
+    summed = counted.repartition("w").groupBy("w", "s").agg(F.sum("n").alias("n"))
+
+    def alone(s: int):
+        return F.coalesce(F.sum(F.when(F.col("s") == s, F.col("n"))), F.lit(0.0))
+
+    near = F.when(F.col("s") >= 0, F.struct("s", "n"))
+    return summed.groupBy("w").agg(alone(-1).alias("n"), alone(-2).alias("total"), alone(-3).alias("own"), F.collect_list(near).alias("near"))
 
 
 def _pairs(batch: pa.RecordBatch, total: float, seed_n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -228,7 +317,7 @@ def _edges(batch: pa.RecordBatch, total: float, seed_n: np.ndarray, usual: np.nd
     """(row, seed, positive PMI beyond the seed's usual one); pairs that chance explains are left out."""
     row, s, n, expected = _pairs(batch, total, seed_n)
     expected = expected * np.exp(usual[s])
-    ok = (n >= support) & (n >= expected + CHANCE * np.sqrt(expected + 1))
+    ok = (n >= support - TINY) & (n >= expected + CHANCE * np.sqrt(expected + 1))
     return row[ok], s[ok], np.log(n[ok] / expected[ok])
 
 
@@ -241,7 +330,7 @@ def _usual(total: float, seed_n: np.ndarray):
             np.add.at(sums[1], s, n)
         yield pa.RecordBatch.from_arrays([pa.array([sums[0].tobytes()]), pa.array([sums[1].tobytes()])], ["k", "r"])
 
-    return run
+    return lean(run)
 
 
 def _gram(total: float, seed_n: np.ndarray, usual: np.ndarray, support: float):
@@ -260,9 +349,10 @@ def _gram(total: float, seed_n: np.ndarray, usual: np.ndarray, support: float):
                 k += dense.T @ (dense / dense.sum(axis=1, keepdims=True))
         yield pa.RecordBatch.from_arrays([pa.array([k.tobytes()]), pa.array([r.tobytes()])], ["k", "r"])
 
-    return run
+    return lean(run)
 
 
+@lean
 def _sum_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     k = r = None
     for batch in batches:
@@ -273,6 +363,33 @@ def _sum_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k.tobytes()]), pa.array([r.tobytes()])], ["k", "r"])
 
 
+def _step(total: float, seed_n: np.ndarray, usual: np.ndarray, support: float, p: np.ndarray, rows: np.ndarray):
+    """Where a step seed - word - seed from ``p`` leads, as a sum over words."""
+    per = np.divide(p, rows, out=np.zeros_like(p), where=rows > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = np.zeros(len(p))
+        for batch in batches:
+            row, s, a = _edges(batch, total, seed_n, usual, support)
+            n = batch.num_rows
+            share = np.divide(np.bincount(row, a * per[s], n), np.bincount(row, a, n), out=np.zeros(n), where=np.bincount(row, minlength=n) > 0)
+            np.add.at(k, s, a * share[row])
+        yield pa.RecordBatch.from_arrays([pa.array([k.tobytes()]), pa.array([k.tobytes()])], ["k", "r"])
+
+    return lean(run)
+
+
+def _degrees(total: float, seed_n: np.ndarray, usual: np.ndarray, support: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = np.zeros(len(seed_n))
+        for batch in batches:
+            _, s, a = _edges(batch, total, seed_n, usual, support)
+            np.add.at(r, s, a)
+        yield pa.RecordBatch.from_arrays([pa.array([r.tobytes()]), pa.array([r.tobytes()])], ["k", "r"])
+
+    return lean(run)
+
+
 def _visits(total: float, seed_n: np.ndarray, usual: np.ndarray, support: float, bad: np.ndarray, good: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,15 +398,19 @@ def _visits(total: float, seed_n: np.ndarray, usual: np.ndarray, support: float,
             q = np.bincount(row, a * good[s], batch.num_rows).astype(float)
             yield pa.RecordBatch.from_arrays([batch.column("w"), pa.array(p), pa.array(q)], ["w", "p", "q"])
 
-    return run
+    return lean(run)
 
 
 def walk(gram: np.ndarray, rows: np.ndarray, start: np.ndarray, restart: float = RESTART) -> np.ndarray:
     """Where a walk from ``start`` over seed - word - seed steps stands in the long run, when each step restarts with that probability."""
     step = np.divide(gram, rows[:, None], out=np.zeros_like(gram), where=rows[:, None] > 0)
+    return settle(lambda p: p @ step, start, restart)
+
+
+def settle(step, start: np.ndarray, restart: float = RESTART) -> np.ndarray:
     p = start.copy()
     for _ in range(1000):
-        new = (1 - restart) * p @ step + restart * start
+        new = (1 - restart) * step(p) + restart * start
         new /= max(new.sum(), 1e-300)
         if np.abs(new - p).sum() < 1e-12:
             break
@@ -317,7 +438,7 @@ def _score(shared):
                 score, n = _scores(terms, weights, data, offs)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(score), pa.array(n), pa.array(score >= threshold)], ["doc_id", "score", "n_terms", "toxic"])
 
-    return run
+    return lean(run)
 
 
 def best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
@@ -335,11 +456,11 @@ def best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
     return float((s[k] + (s[k + 1] if k + 1 < len(s) else 0.0)) / 2)
 
 
-def induce(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, seeds: int = SEEDS, chunk: int = CHUNK, support: float = MIN_SUPPORT, least: float = POLARITY, limit: int = LEXICON_BYTES) -> Lexicon:
+def induce(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, chunk: int = CHUNK, support: float = MIN_SUPPORT, least: float = POLARITY, limit: int = LEXICON_BYTES, gram_seeds: int = GRAM_SEEDS, copies_limit: int = COPIES_BYTES) -> Lexicon:
     """The lexicon that ``docs`` and ``labels`` give.
 
     Seeds come from labelled documents (at most ``max_labels``). Over all documents, positive PMI between
-    a seed and any word of the same ``chunk`` words makes the edges of a graph; the PMI that a seed has with
+    a seed and any word of the same chunk (of ``chunk`` words; see ``cooccurrence`` for copies) makes the edges of a graph; the PMI that a seed has with
     its company on the average (as words of one language have) is taken off first. Walks with restart go
     from the toxic and from the clean seeds, and a word's polarity compares how often they come by.
     The toxic seeds themselves have polarity 1.
@@ -347,14 +468,15 @@ def induce(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, see
     require(docs, "doc_id", "text")
     require(labels, "doc_id", "toxic")
     sample = labelled(docs, labels, max_labels)
-    bad, good = seed_terms(sample, seeds)
+    bad, good = seed_terms(sample)
     none = Lexicon(np.zeros(0, np.int64), np.zeros(0), float("inf"))
     if not len(bad):
         return none
     all_seeds = np.concatenate([bad, good])
-    graph = cut(cooccurrence(docs, all_seeds, chunk))
+    graph = cut(cooccurrence(docs, all_seeds, chunk, copies_limit))
     total = float(graph.where("w = 0").agg(F.sum("total").alias("t")).first()["t"] or 0)
-    n_of = {r["w"]: r["n"] for r in graph.where(F.col("w").isin(all_seeds.tolist())).select("w", "n").collect()}
+    listed = docs.sparkSession.createDataFrame([(int(w),) for w in np.unique(all_seeds)], "w long")
+    n_of = {r["w"]: r["own"] for r in graph.join(F.broadcast(listed), "w").select("w", "own").collect()}  # as many rows as seeds
     seed_n = np.array([n_of.get(int(s), 0) for s in all_seeds], float)
     linked = graph.where("size(near) > 0")
     near = linked.select("w", "n", "near")
@@ -367,18 +489,24 @@ def induce(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, see
     if not times.any():
         return none
     usual = np.divide(weighted, times, out=np.zeros_like(times), where=times > 0)
-    gram, rows = added(_gram(total, seed_n, usual, support))
-    gram = gram.reshape(len(all_seeds), -1)
+    if len(all_seeds) <= gram_seeds:
+        gram, rows = added(_gram(total, seed_n, usual, support))
+        gram = gram.reshape(len(all_seeds), -1)
+    else:
+        gram, rows = None, added(_degrees(total, seed_n, usual, support))[0]
     start = np.zeros((2, len(all_seeds)))
     start[0, : len(bad)] = 1 / len(bad)
     start[1, len(bad) :] = 1 / max(1, len(good))
-    p, q = (walk(gram, rows, x) for x in start)
+    if gram is not None:
+        p, q = (walk(gram, rows, x) for x in start)
+    else:
+        p, q = (settle(lambda v: added(_step(total, seed_n, usual, support, v, rows))[0], x) for x in start)
     per = np.divide(np.vstack([p, q]), rows, out=np.zeros((2, len(rows))), where=rows > 0)
     visits = cut(near.mapInArrow(_visits(total, seed_n, usual, support, per[0], per[1]), "w long, p double, q double").where("p + q > 0"))
     base = visits.agg(F.percentile_approx(F.col("p") + F.col("q"), 0.5).alias("b")).first()["b"] or 0.0
     table = visits.select("w", ((F.col("p") - F.col("q")) / (F.col("p") + F.col("q") + base)).alias("weight")).where(F.col("weight") >= least)
     known = docs.sparkSession.createDataFrame([(int(w), 1.0) for w in bad], "w long, weight double")
-    table = cut(table.where(~F.col("w").isin(bad.tolist())).unionByName(known))
+    table = cut(table.join(F.broadcast(known), "w", "left_anti").unionByName(known))
     n = table.count()
     if 16 * n > limit:
         return Lexicon(none.terms, none.weights, _joined_threshold(sample, table), table)
@@ -401,7 +529,7 @@ def _sample_scores(terms: np.ndarray, weights: np.ndarray):
                 score = np.bincount(row[hit], weights[at[hit]], batch.num_rows).astype(float)
             yield pa.RecordBatch.from_arrays([pa.array(score), batch.column("toxic")], ["score", "toxic"])
 
-    return run
+    return lean(run)
 
 
 def _joined_threshold(sample: DataFrame, table: DataFrame) -> float:
@@ -410,6 +538,7 @@ def _joined_threshold(sample: DataFrame, table: DataFrame) -> float:
     return best_threshold(found.score.to_numpy(), found.toxic.to_numpy() > 0)
 
 
+@lean
 def _doc_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, offs in tv.slices(batch.column("text")):
@@ -454,7 +583,7 @@ def _keep_clean(shared):
                 keep[i:j] = _scores(terms, weights, data, offs)[0] < threshold
             yield batch.select(range(batch.num_columns - 1)).filter(pa.array(keep))
 
-    return run
+    return lean(run)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
@@ -463,7 +592,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     if lexicon.table is not None:
         bad = _joined_scores(docs, lexicon.table).where(F.col("score") >= lexicon.threshold).select(F.col("nk").alias("f_nk"))
         (nk,) = fresh(docs, "f_nk")
-        return docs.withColumn(nk, row_key()).join(bad.withColumnRenamed("f_nk", nk), nk, "left_anti").select(*docs.columns)
+        return docs.withColumn(nk, row_key()).join(bad.withColumnRenamed("f_nk", nk), nk, "left_anti").select(*every(docs))
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.terms, lexicon.weights, lexicon.threshold))
     (low,) = fresh(docs, "f_small")
     small = docs.select("*", F.lower("text").alias(low))
