@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.llm import bloom
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import cut, require, row_key
+from frameloom.llm.common import cut, join_counted, lean, require, row_key
 
-#: Bytes of a filter that is sent to every executor. For more lines, hashes are counted by a shuffle instead.
+#: Bytes of a filter that is sent to every executor. A larger one stays in shards, to which the lines go.
 FILTER_BYTES = 64 << 20
+#: Bytes of the list of removed lines that is sent to every executor. A longer one is joined.
+DROPS_BYTES = 32 << 20
 
 
 def lines(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -35,14 +38,9 @@ def _hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             yield tv.span_hashes(data, start[solid], end[solid])
 
 
-def _hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for h in _hashes(batch):
-            u, n = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
-
-
 def _suspects(shared):
+    """Lines that the filter of twice-seen ones holds; all without one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = shared.value if shared else None
         for batch in batches:
@@ -63,27 +61,37 @@ def _suspects(shared):
                     ["doc_id", "nk", "line_no", "h", "line"],
                 )
 
-    return run
-
-
-def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        drops = batch.column("drops")
-        texts, counts, removed = [], [], []
-        for k, (raw, gone) in enumerate(zip(batch.column("text"), drops)):
-            gone = gone.as_py()
-            text = raw.as_py()
-            counts.append(0 if text is None else text.count("\n") + 1)
-            if not gone:
-                texts.append(text)
-                removed.append(0)
-                continue
-            split = text.split("\n")
-            keep = np.ones(len(split), bool)
-            keep[gone] = False
-            texts.append("\n".join(split[i] for i in np.flatnonzero(keep).tolist()))
-            removed.append(len(split) - int(keep.sum()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], ["doc_id", "text", "n_lines", "n_removed"])
+    return lean(run)
+
+
+def _rebuild(shared):
+    """Texts without the lines that the column ``drops`` numbers, or the broadcast (keys, where each one's numbers begin, numbers)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if shared is None:
+                gone = batch.column("drops").to_pylist()
+            else:
+                keys, begin, numbers = shared.value
+                nk = batch.column("nk").to_numpy()
+                at = np.minimum(np.searchsorted(keys, nk), max(0, len(keys) - 1))
+                known = keys[at] == nk if len(keys) else np.zeros(len(nk), bool)
+                gone = [numbers[begin[k] : begin[k + 1]] if yes else None for k, yes in zip(at.tolist(), known.tolist())]
+            texts, counts, removed = [], [], []
+            for raw, drops in zip(batch.column("text").to_pylist(), gone):
+                counts.append(0 if raw is None else raw.count("\n") + 1)
+                if drops is None:
+                    texts.append(raw)
+                    removed.append(0)
+                    continue
+                split = raw.split("\n")
+                keep = np.ones(len(split), bool)
+                keep[drops] = False
+                texts.append("\n".join(split[i] for i in np.flatnonzero(keep).tolist()))
+                removed.append(len(split) - int(keep.sum()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], ["doc_id", "text", "n_lines", "n_removed"])
+
+    return lean(run)
 
 
 def repeated_lines(docs: DataFrame, limit: int = FILTER_BYTES) -> DataFrame:
@@ -96,16 +104,18 @@ def repeated_lines(docs: DataFrame, limit: int = FILTER_BYTES) -> DataFrame:
         twice = bloom.filters(slim.select("text"), _hashes, size)[1]
         suspects = slim.mapInArrow(_suspects(docs.sparkSession.sparkContext.broadcast(twice)), schema)
     else:
-        counted = slim.select("text").mapInArrow(_hash_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-        suspects = slim.mapInArrow(_suspects(None), schema).join(counted.where("n > 1").select("h"), "h", "left_semi")
+        suspects = bloom.sharded(slim.mapInArrow(_suspects(None), schema).withColumn("index", F.lit(True)), n)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "line_no")
     suspects = cut(suspects.select("doc_id", "nk", "line_no", "line"))
     first = suspects.groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = suspects.join(first, "line").where("nk <> first.nk OR line_no <> first.line_no")
+    later = join_counted(suspects, cut(first), "line").where("nk <> first.nk OR line_no <> first.line_no")
     return later.groupBy("nk").agg(F.collect_set("line_no").alias("drops"))
 
 
-def dedup_lines(docs: DataFrame, limit: int = FILTER_BYTES) -> DataFrame:
+RESULT = "doc_id long, text string, n_lines long, n_removed long"
+
+
+def dedup_lines(docs: DataFrame, limit: int = FILTER_BYTES, drops_limit: int = DROPS_BYTES) -> DataFrame:
     """(doc_id, text, n_lines, n_removed): each document with only the first occurrences of its lines.
 
     Lines are what line feeds separate, compared byte by byte. The first occurrence of a line is that of
@@ -114,15 +124,36 @@ def dedup_lines(docs: DataFrame, limit: int = FILTER_BYTES) -> DataFrame:
 
     Rows that agree in doc_id and text are one document and get the same cleaned text. A null text stays null
     with 0 lines; an empty one stays empty with 1. A text of repeated lines only becomes empty. Texts of any
-    length are read whole. An empty table gives an empty result; other columns are left out.
+    length are read whole. An empty table gives an empty result; other columns are left out. Ids are whole numbers.
 
-    Filters are built over all lines; a line that the second doesn't hold certainly occurs once and is never
-    shuffled. Beyond ``limit`` bytes of filter, 8-byte hashes are counted by a shuffle instead, with equal results.
+    Filters are built over all lines; a line that the second doesn't hold certainly occurs once and goes no further. Filters
+    beyond ``limit`` bytes stay in shards, to which the lines go. The numbers of the lines to remove are sent to
+    every executor up to ``drops_limit`` bytes; beyond it only documents that have such lines (by a filter of
+    their keys) are joined with them, so texts that stay as they are aren't shuffled. Results are equal.
     """
     require(docs, "doc_id", "text")
+    spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("nk"))
-    joined = slim.join(repeated_lines(docs, limit), "nk", "left").select("doc_id", "text", "drops")
-    return joined.mapInArrow(_rebuild, "doc_id long, text string, n_lines long, n_removed long")
+    drops = cut(repeated_lines(docs, limit))
+    sums = drops.agg(F.count("*").alias("docs"), F.sum(F.size("drops")).alias("lines")).first()
+    if 16 * sums["docs"] + 4 * (sums["lines"] or 0) <= drops_limit:
+        got = drops.toArrow().sort_by("nk")
+        lists = got.column("drops").combine_chunks()
+        begin = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        shared = spark.sparkContext.broadcast((got.column("nk").to_numpy(), begin, lists.flatten().to_numpy()))
+        return slim.mapInArrow(_rebuild(shared), RESULT)
+    size = bloom.n_words(sums["docs"])
+    if 8 * size > limit:
+        return slim.join(drops, "nk", "left").mapInArrow(_rebuild(None), RESULT)
+    shared = spark.sparkContext.broadcast(bloom.filters(drops.select("nk"), lambda batch: [tv.mix(batch.column("nk").to_numpy().view(np.uint64))], size)[0])
+
+    @F.pandas_udf("boolean")
+    def touched(nk: pd.Series) -> pd.Series:
+        return pd.Series(bloom.contains(shared.value, tv.mix(nk.to_numpy(np.int64).view(np.uint64))))
+
+    mine = slim.withColumn("touched", touched("nk"))
+    whole = mine.where("NOT touched").select("doc_id", "text", "nk", F.lit(None).cast("array<int>").alias("drops"))
+    return whole.unionByName(mine.where("touched").join(drops, "nk", "left").select("doc_id", "text", "nk", "drops")).mapInArrow(_rebuild(None), RESULT)
 
 
 #: DuckDB: dedup_lines() of documents.
