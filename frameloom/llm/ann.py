@@ -6,15 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.llm.common import cut, require
+from frameloom.llm.common import cut, lean, require
 
 K = 10
-#: Bytes of the vectors of a block, at most; a task holds its own block of queries and one block of others.
-BLOCK_BYTES = 8 << 20
+#: Bytes of the vectors of a block, and of a block of queries, at most; a task holds one of each.
+BLOCK_BYTES, QUERY_BYTES = 8 << 20, 32 << 20
 LEAST_ROWS = 512
+#: Blocks that one task reads; with more, several tasks search for the same queries and their heaps are merged.
+BLOCKS_PER_TASK = 64
 #: Queries of a tile, and pairs recomputed at a time.
 TILE_ROWS = 256
 PAIRS = 100_000
@@ -84,16 +86,18 @@ class Heaps:
 
 
 class Queries:
-    """A block of vectors that meets one block after another."""
+    """A block of vectors, with the keys of their rows, that meets one block after another."""
 
-    def __init__(self, x: np.ndarray, k: int) -> None:
-        self.x, self.q, self.heaps = x, Quantised(x), Heaps(len(x), k)
+    def __init__(self, x: np.ndarray, own: np.ndarray, k: int) -> None:
+        self.x, self.own, self.q, self.heaps = x, own, Quantised(x), Heaps(len(x), k)
 
-    def meet(self, y: np.ndarray, ids: np.ndarray, keys: np.ndarray, own: bool) -> int:
-        """Takes the neighbours that a block of vectors holds; returns how many pairs were recomputed."""
-        q, r = self.q, self.q if own else Quantised(y)
+    def meet(self, y: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> int:
+        """Takes the neighbours that a block of vectors holds; returns how many pairs were recomputed. ``keys`` ascend."""
+        q, r = self.q, Quantised(y)
         half, k, done = (r.square / 2).astype(np.float32), self.heaps.d.shape[1], 0
         widest = np.sqrt(r.square.max())
+        at = np.minimum(np.searchsorted(keys, self.own), len(keys) - 1)
+        same = np.where(keys[at] == self.own, at, -1)  # where a query itself stands in the block
         for a in range(0, len(self.x), TILE_ROWS):
             b = min(len(self.x), a + TILE_ROWS)
             dots = product(q.codes[a:b], r.codes)
@@ -103,16 +107,15 @@ class Queries:
             # |x.y - x'.y'| <= |x'||y - y'| + |x - x'||y|; the rest covers rounding of 32-bit floats and of DECIMALS
             norm = np.sqrt(q.square[a:b])
             error = q.near_norm[a:b] * r.error.max() + q.error[a:b] * widest + 1e-6 * (norm + widest) ** 2 + 10.0**-DECIMALS
-            if own:
-                dots[np.arange(b - a), np.arange(a, b)] = -np.inf
+            mine = np.flatnonzero(same[a:b] >= 0)
+            dots[mine, same[a:b][mine]] = -np.inf
             least = (q.square[a:b] - self.heaps.d[a:b, 0]) / 2 - error
             full = np.isfinite(least)
             if not full.all() and dots.shape[1] > k:
                 least = np.where(full, least, np.partition(dots, dots.shape[1] - k, axis=1)[:, -k] - 2 * error)
             row, col = np.nonzero(dots >= least.astype(np.float64)[:, None])
-            if own:
-                real = row + a != col
-                row, col = row[real], col[real]
+            other = same[row + a] != col
+            row, col = row[other], col[other]
             done += len(row)
             for s in range(0, len(row), PAIRS):
                 i, j = row[s : s + PAIRS] + a, col[s : s + PAIRS]
@@ -131,88 +134,100 @@ def _pack(group: pa.Table) -> pa.Table:
     flat = group.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32)
     none = np.asarray(group.column("vec_id").combine_chunks().is_null())
     ids = group.column("vec_id").combine_chunks().fill_null(_LAST).to_numpy(zero_copy_only=False)
-    one = {c: group.column(c).slice(0, 1).combine_chunks() for c in ("dim", "block", "blocks")}
+    one = {c: group.column(c).slice(0, 1).combine_chunks() for c in ("dim", "block")}
     return pa.table(one | {k: pa.array([v.tobytes()], pa.binary()) for k, v in (("ids", ids.astype(np.int64)), ("none", none), ("nks", keys[at]), ("vecs", flat))})
 
 
+FOUND = "nk long, vec_id long, d double, none boolean, neighbour_id long, neighbour_nk long"
+
+
 def _result(queries: Queries, ids: np.ndarray, none: np.ndarray, nulls: set[int]) -> pa.RecordBatch:
     h = queries.heaps
     n, k = h.d.shape
-    row = np.repeat(np.arange(n), k)
-    d, i, key = h.d.reshape(-1), h.i.reshape(-1), h.n.reshape(-1)
-    order = np.lexsort((key, i, d, row))
-    order = order[np.isfinite(d[order])]
-    rank = np.arange(len(order)) - np.searchsorted(row[order], row[order]) + 1
-    gone = np.array([x in nulls for x in key[order].tolist()], bool) if nulls else np.zeros(len(order), bool)
+    row, d, i, key = np.repeat(np.arange(n), k), h.d.reshape(-1), h.i.reshape(-1), h.n.reshape(-1)
+    some = np.flatnonzero(np.isfinite(d))
+    gone = np.isin(key[some], np.array(sorted(nulls), np.int64)) & (i[some] == _LAST)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids[row[order]], mask=none[row[order]]), pa.array(i[order], mask=gone), pa.array(rank.astype(np.int32)), pa.array(np.sqrt(d[order]))],
-        ["vec_id", "neighbour_id", "rank", "distance"],
+        [pa.array(queries.own[row[some]]), pa.array(ids[row[some]], mask=none[row[some]]), pa.array(d[some]), pa.array(gone), pa.array(i[some], mask=gone), pa.array(key[some])],
+        [c.split()[0] for c in FOUND.split(", ")],
     )
 
 
 def _search(k: int):
+    """The ``k`` nearest of each query among the blocks that follow its block of queries."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, queries, ids, none, nulls = None, None, None, None, set()
+        queries, ids, none, nulls = None, None, None, set()
         for batch in batches:
             for r in range(batch.num_rows):
-                row = {c: batch.column(c)[r] for c in batch.schema.names}
-                key = (row["dim"].as_py(), row["q"].as_py())
-                parts = {c: np.frombuffer(row[c].as_buffer(), t) for c, t in (("ids", np.int64), ("none", bool), ("nks", np.int64), ("vecs", np.float32))}
+                parts = {c: np.frombuffer(batch.column(c)[r].as_buffer(), t) for c, t in (("ids", np.int64), ("none", bool), ("nks", np.int64), ("vecs", np.float32))}
                 x = parts["vecs"].reshape(len(parts["ids"]), -1)
-                if key != at:
+                if batch.column("asks")[r].as_py():
                     if queries is not None:
                         yield _result(queries, ids, none, nulls)
-                    at, queries, ids, none, nulls = key, Queries(x, k), parts["ids"], parts["none"], set()
-                nulls.update(parts["nks"][parts["none"]].tolist())
-                queries.meet(x, parts["ids"], parts["nks"], row["block"].as_py() == key[1])
+                    queries, ids, none, nulls = Queries(x, parts["nks"], k), parts["ids"], parts["none"], set()
+                else:
+                    nulls.update(parts["nks"][parts["none"]].tolist())
+                    queries.meet(x, parts["ids"], parts["nks"])
         if queries is not None:
             yield _result(queries, ids, none, nulls)
 
-    return run
+    return lean(run)
 
 
-def neighbours(vectors: DataFrame, k: int = K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(vec_id, neighbour_id, rank, distance): the ``k`` nearest other vectors of each, by Euclidean distance; exact.
+def neighbours(vectors: DataFrame, k: int = K, queries: Column | None = None, block_bytes: int = BLOCK_BYTES, query_bytes: int = QUERY_BYTES, blocks_per_task: int = BLOCKS_PER_TASK) -> DataFrame:
+    """(vec_id, neighbour_id, rank, distance): the ``k`` nearest other vectors of each query, by Euclidean distance; exact.
 
-    Every block of vectors is sent to every block of queries, its own first. A tile of int8 products gives each
-    distance up to the error bound of its two roundings; a pair that the bound rules out of the ``k`` nearest so
-    far goes, every other one is recomputed from the 32-bit floats and enters the heap of its query.
+    Queries are the rows of ``vectors`` for which the condition ``queries`` on its columns holds (all without one); each is
+    compared with all rows. A grid of tasks takes a block of queries and some blocks of vectors each. A tile of int8
+    products gives each distance up to the error bound of its two roundings; a pair that the bound rules out of
+    the ``k`` nearest so far goes, every other one is recomputed from the 32-bit floats and enters the heap of its
+    query. At the end the heaps of a query's tasks are merged.
 
     Distances are equal if their squares agree to ``DECIMALS`` decimals; the lesser neighbour_id comes first then
     (null last; ties by a hash of the row). Rows that agree in vec_id and vector are one. A vector that is null, empty or holds
     a null or a value that isn't finite is neither query nor neighbour. Vectors of different length are not
     compared. Where fewer than ``k`` others exist, all are given; an empty table gives an empty result. Other
-    columns are ignored.
+    columns are ignored. Ids are whole numbers.
 
-    Blocks grow with the table up to ``block_bytes``, so a task's memory is bounded; work is quadratic in the rows, as
-    any exact search by a matrix product is, and data sent are the table times the number of blocks.
+    A task's memory is bounded by the bytes of its blocks. Work is queries times rows, as in any exact search by a matrix
+    product; data sent are the table times the number of query blocks.
     """
     require(vectors, "vec_id", "embedding")
-    spark = vectors.sparkSession
+    tasks = 2 * max(1, vectors.sparkSession.sparkContext.defaultParallelism)
+    asks = F.lit(True) if queries is None else F.coalesce(queries, F.lit(False))
     sound = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("vec")).where((F.size("vec") > 0) & sound)
-    slim = slim.select("vec_id", "vec", F.size("vec").alias("dim"), F.xxhash64(F.col("vec_id").isNull(), "vec_id", "vec").alias("nk"))
-    tasks = 2 * max(1, spark.sparkContext.defaultParallelism)
-    rows = F.least(F.greatest(F.lit(LEAST_ROWS), F.ceil(F.col("n") / tasks)), F.greatest(F.lit(1), F.floor(F.lit(block_bytes) / (F.col("dim") * 4))))
-    sizes = slim.groupBy("dim").agg(F.count("*").alias("n")).select("dim", F.ceil(F.col("n") / rows).cast("int").alias("blocks"))
-    in_blocks = slim.join(sizes, "dim").withColumn("block", F.pmod("nk", F.col("blocks").cast("long")).cast("int"))
-    packed = cut(in_blocks.groupBy("dim", "block").applyInArrow(_pack, "dim int, block int, blocks int, ids binary, none binary, nks binary, vecs binary"))
-    present = packed.select("dim", F.col("block").alias("q"))
-    sent = packed.join(present, "dim")
-    parts = max(1, packed.count())
-    # one partition for each block of queries, as far as hashes of dimensions don't meet
-    placed = sent.repartitionById(parts, F.pmod(F.hash("dim").cast("long") + F.col("q"), F.lit(parts)).cast("int"))
-    placed = placed.sortWithinPartitions("dim", "q", F.col("block") != F.col("q"), "block")
-    return placed.select("dim", "q", "block", "ids", "none", "nks", "vecs").mapInArrow(_search(k), "vec_id long, neighbour_id long, rank int, distance double")
-
-
-#: DuckDB: neighbours() of embeddings.
+    slim = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("vec"), asks.alias("asks")).where((F.size("vec") > 0) & sound)
+    slim = slim.select("vec_id", "vec", "asks", F.size("vec").alias("dim"), F.xxhash64(F.col("vec_id").isNull(), "vec_id", "vec").alias("nk"))
+
+    def packed(rows: DataFrame, most: int) -> DataFrame:
+        per = F.least(F.greatest(F.lit(LEAST_ROWS), F.ceil(F.col("n") / tasks)), F.greatest(F.lit(1), F.floor(F.lit(most) / (F.col("dim") * 4))))
+        sizes = rows.groupBy("dim").agg(F.count("*").alias("n")).select("dim", F.ceil(F.col("n") / per).alias("blocks"))
+        in_blocks = rows.drop("asks").join(sizes, "dim").withColumn("block", F.pmod("nk", "blocks").cast("int"))
+        return cut(in_blocks.groupBy("dim", "block").applyInArrow(_pack, "dim int, block int, ids binary, none binary, nks binary, vecs binary"))
+
+    blocks, asked = packed(slim, block_bytes), packed(slim.where("asks"), query_bytes)
+    blobs = ["ids", "none", "nks", "vecs"]
+    part = F.floor(F.col("block") / blocks_per_task)
+    present = asked.select("dim", F.col("block").alias("q"))
+    parts = blocks.select("dim", part.alias("part")).distinct()
+    sent = asked.withColumnRenamed("block", "q").join(parts, "dim").select("dim", "q", "part", F.lit(True).alias("asks"), F.lit(-1).alias("block"), *blobs)
+    sent = sent.unionByName(blocks.join(present, "dim").select("dim", "q", part.alias("part"), F.lit(False).alias("asks"), "block", *blobs))
+    n = max(1, present.join(parts, "dim").count())
+    placed = sent.repartition(n, "dim", "q", "part").sortWithinPartitions("dim", "q", "part", "block")
+    found = placed.select("asks", *blobs).mapInArrow(_search(k), FOUND)
+    best = found.groupBy("nk").agg(F.first("vec_id").alias("vec_id"), F.slice(F.sort_array(F.collect_list(F.struct("d", "none", "neighbour_id", "neighbour_nk"))), 1, k).alias("near"))
+    ranked = best.select("vec_id", F.posexplode("near").alias("r", "x"))
+    return ranked.select("vec_id", F.col("x.neighbour_id").alias("neighbour_id"), (F.col("r") + 1).alias("rank"), F.sqrt("x.d").alias("distance"))
+
+
+#: DuckDB: neighbours() of embeddings for the queries of every hundredth id.
 NEIGHBOURS_SQL = f"""
 WITH v AS (
     SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), p AS (
     SELECT a.vec_id, b.vec_id AS neighbour_id, round(list_sum(list_transform(list_zip(a.e, b.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), {DECIMALS}) AS d
-    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0
 ), r AS (
     SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour_id)::INTEGER AS rank FROM p
 )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from frameloom.llm import ann, decontam, line_dedup, mixing, near_dedup, secrets, substring_dedup, token_output, toxicity, warc
 from frameloom.llm.common import table
@@ -33,7 +34,8 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+    """Queries are the rows whose id is divisible by 100; they are compared with all rows."""
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 100 == 0)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +68,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.POSITIONS_SQL,
     "op4_warc_index": warc.HISTORY_SQL,
     "op7_neighbours": ann.NEIGHBOURS_SQL,
+    "op8_substring_dedup": substring_dedup.REPEATS_SQL,
+    "op10_decontamination": decontam.CONTAMINATION_SQL,
 }

@@ -6,17 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.llm import bloom
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import cut, require, row_key
+from frameloom.llm.common import cut, distinct_rows, join_counted, lean, require, row_key, stored
 
 MIN_WORDS = 50
-#: Bytes of a filter that is sent to every executor. For more blocks, every window's hash is shuffled.
+#: Bytes of a filter that is sent to every executor. A larger one stays in shards, to which the windows' hashes go.
 FILTER_BYTES = 64 << 20
-REPEATS = "doc_id long, start long, end long, n_words int, ref_doc_id long, ref_start long, ref_end long"
+RUNS = "h long, doc_id long, nk long, pos int, start int, end int, again boolean"
 
 
 def block_words(min_words: int) -> int:
@@ -24,251 +24,176 @@ def block_words(min_words: int) -> int:
     return (min_words + 1) // 2
 
 
-def windows(data: np.ndarray, offs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, number of first word, hash) of every run of ``n`` words; white space separates words."""
-    row, start, end = tv.spans(data, offs, tv.SOLID_BYTE)
-    if not len(row):
-        return row, row, np.zeros(0, np.uint64)
-    h = tv.window_hashes(tv.span_hashes(data, start, end), n)
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    inside = row[: len(h)] == row[n - 1 :][: len(h)]
-    return row[: len(h)][inside], place[: len(h)][inside], h[inside]
-
-
-def around(data: np.ndarray, offs: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of ``n`` words, and a hash of where each stands in the words that runs of ``least`` words through it can hold."""
-    row, start, end = tv.spans(data, offs, tv.SOLID_BYTE)
-    if not len(row):
-        return row, row, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    codes = tv.span_hashes(data, start, end)
-    h = tv.window_hashes(codes, n)
-    first = np.searchsorted(row, row)
-    at = np.flatnonzero(row[: len(h)] == row[n - 1 :][: len(h)])
-    low, high = np.maximum(at - (least - n), first[at]), np.minimum(at + least, np.searchsorted(row, row, "right")[at])
-    total = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * tv.powers(len(codes), "up"), dtype=np.uint64, out=total[1:])
-    context = tv.mix((total[high] - total[low]) * tv.powers(len(codes) + 1, "down")[low] + tv.mix(((at - low) * 2 * least + high - low).astype(np.uint64)))
-    return row[at], (at - first[at]), h[at], context
-
-
-def _long_windows(n: int, least: int, wanted):
-    """(row, place, hash) of the runs of ``least`` words that hold a window of ``n`` words in the filter ``wanted``; all without one."""
-
-    def extract(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for i, j, data, offs in tv.slices(batch.column("text")):
-            row, start, end = tv.spans(data, offs, tv.SOLID_BYTE)
-            codes = tv.span_hashes(data, start, end)
-            h = tv.window_hashes(codes, least)
-            if not len(h):
-                continue
-            some = row[: len(h)] == row[least - 1 :][: len(h)]
-            if wanted is not None:
-                hit = np.concatenate([[0], np.cumsum(bloom.contains(wanted.value, tv.window_hashes(codes, n)))])
-                some &= hit[least - n + 1 :][: len(h)] > hit[: len(h)]
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            ids = pa.array(row[: len(h)][some])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[some].view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place[: len(h)][some].astype(np.int32))], ["h", "doc_id", "nk", "pos"]
-            )
-
-    return lambda batches: (out for batch in batches for out in extract(batch))
-
-
-def _unsettled(least: int):
-    """Windows of ``least`` words that no reported passage of their document holds, one for each run of them on a diagonal."""
+class Words:
+    """The words of some texts (white space separates them), with their numbers and the hashes of runs of them."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["nk", "ref", "doc_id", "ref_id", "pos", "ref_pos"]
-        for batch in batches:
-            rows = []
-            for nk, doc, wins, done in zip(batch.column("nk").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("wins"), batch.column("done")):
-                pos, ref, ref_pos = (wins.values.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "ref", "ref_pos"))
-                ref_id = wins.values.field("ref_id")
-                some = np.ones(len(pos), bool)
-                if done.values is not None and len(done.values):
-                    a, b = (done.values.field(c).to_numpy() for c in ("a", "b"))
-                    order = np.argsort(a, kind="stable")
-                    a, b = a[order], np.maximum.accumulate(b[order])
-                    k = np.searchsorted(a, pos, "right") - 1
-                    some = (k < 0) | (b[np.maximum(k, 0)] < pos + least)
-                at = np.flatnonzero(some)
-                at = at[np.lexsort((pos[at], pos[at] - ref_pos[at], ref[at]))]
-                new = np.ones(len(at), bool)
-                new[1:] = (ref[at][1:] != ref[at][:-1]) | (np.diff(pos[at]) != 1) | (np.diff(ref_pos[at]) != 1)
-                rows += [(nk, int(ref[x]), doc, ref_id[x].as_py(), int(pos[x]), int(ref_pos[x])) for x in at[new].tolist()]
-            cols = list(zip(*rows)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if "pos" in name else pa.int64()) for c, name in zip(cols, names)], names)
-
-    return run
-
-
-def _block_hashes(n: int):
+    def __init__(self, data: np.ndarray, offs: np.ndarray) -> None:
+        self.data, self.offs = data, offs
+        self.row, self.start, self.end = tv.spans(data, offs, tv.SOLID_BYTE)
+        self.codes = tv.span_hashes(data, self.start, self.end) if len(self.row) else np.zeros(0, np.uint64)
+        self.place = np.arange(len(self.row)) - np.searchsorted(self.row, self.row)
+
+    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the ``n`` words from each word on, and whether they are in one text."""
+        h = tv.window_hashes(self.codes, n)
+        return h, self.row[: len(h)] == self.row[n - 1 :][: len(h)]
+
+    def chars(self) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each word in characters of its text."""
+        at = tv.char_index(self.data)
+        base = at[self.offs[:-1]][self.row]
+        return at[self.start] - base, at[self.end] - base
+
+
+def _blocks(n: int):
     def extract(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for _, _, data, offs in tv.slices(batch.column("text")):
-            _, place, h = windows(data, offs, n)
-            if len(h):
-                yield h[place % n == 0]
+            w = Words(data, offs)
+            h, inside = w.windows(n)
+            yield h[inside & (w.place[: len(h)] % n == 0)]
 
     return extract
 
 
-def _probe(n: int, least: int, shared):
-    """Blocks, and windows that may equal a block elsewhere, as (h, doc_id, nk, pos, context, block)."""
+def _anchors(n: int, shared):
+    """Hashes of the windows that equal a block elsewhere, as far as filters tell."""
+
+    def extract(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        once, twice = shared.value
+        for _, _, data, offs in tv.slices(batch.column("text")):
+            w = Words(data, offs)
+            h, inside = w.windows(n)
+            block = w.place[: len(h)] % n == 0
+            yield np.concatenate([x[bloom.contains(f, x)] for f, x in ((once, h[inside & ~block]), (twice, h[inside & block]))])
+
+    return extract
+
+
+def _all_windows(n: int):
+    """(h, nk, pos, index) of every window of ``n`` words; blocks are the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offs in tv.slices(batch.column("text")):
-                row, place, h, context = around(data, offs, n, least)
+                w = Words(data, offs)
+                h, inside = w.windows(n)
+                at = np.flatnonzero(inside)
+                nk = batch.column("nk").slice(i, j - i).take(pa.array(w.row[at]))
+                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), nk, pa.array(w.place[at].astype(np.int32)), pa.array(w.place[at] % n == 0)], ["h", "nk", "pos", "index"])
+
+    return lean(run)
+
+
+def _runs(n: int, least: int, shared):
+    """Runs of ``least`` words that hold an anchor of ``n`` words: by the broadcast filter of anchors, or the column ``hits`` of their places.
+
+    ``again`` says that the same run stands up to ``least`` words before in the text, as in one word that goes on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offs in tv.slices(batch.column("text")):
+                w = Words(data, offs)
+                h, inside = w.windows(least)
                 if not len(h):
                     continue
-                block = place % n == 0
                 if shared is not None:
-                    once, twice = shared.value
-                    seen = np.where(block, bloom.contains(twice, h), bloom.contains(once, h))
-                    row, place, h, context, block = row[seen], place[seen], h[seen], context[seen], block[seen]
-                ids = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place.astype(np.int32)), pa.array(context.view(np.int64)), pa.array(block)],
-                    ["h", "doc_id", "nk", "pos", "context", "block"],
-                )
-
-    return run
-
-
-class _Words:
-    """Word hashes and character spans of texts; the last few are remembered."""
-
-    def __init__(self) -> None:
-        self.kept: dict[tuple, tuple] = {}
-
-    def of(self, key: tuple, text: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if key not in self.kept:
-            if len(self.kept) > 8:
-                self.kept.pop(next(iter(self.kept)))
-            data = np.frombuffer(text.as_buffer(), np.uint8)
-            _, start, end = tv.spans(data, np.array([0, len(data)]), tv.SOLID_BYTE)
-            chars = tv.char_index(data)
-            self.kept[key] = (tv.span_hashes(data, start, end), chars[start], chars[end])
-        return self.kept[key]
-
-
-def extend(a: np.ndarray, b: np.ndarray, anchors: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
-    """(position in a, position in b, length) of the maximal runs of equal codes through ``anchors`` (rows of positions in a and b)."""
-    found = []
-    shift = anchors[:, 0] - anchors[:, 1]
-    for d in np.unique(shift).tolist():
-        low, high = max(0, d), min(len(a), len(b) + d)
-        differ = np.flatnonzero(a[low:high] != b[low - d : high - d]) + low
-        at = np.unique(np.searchsorted(differ, anchors[shift == d, 0]))
-        for k in at.tolist():
-            left = int(differ[k - 1]) + 1 if k else low
-            right = int(differ[k]) if k < len(differ) else high
-            if right - left >= min_words:
-                found.append((left, left - d, right - left))
-    return found
-
-
-def _extend(min_words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
-        for batch in batches:
-            rows = []
-            x_id, r_id, x_nk, r_nk = (batch.column(c).to_pylist() for c in ("doc_id", "ref_id", "nk", "ref"))
-            for k, (x, r) in enumerate(zip(x_nk, r_nk)):
-                a, a0, a1 = words.of((x,), batch.column("x_text")[k])
-                b, b0, b1 = words.of((r,), batch.column("r_text")[k])
-                anchors = batch.column("anchors")[k].values
-                pairs = np.stack([anchors.field(c).to_numpy() for c in ("pos", "ref_pos")], axis=1)
-                for p, q, n in extend(a, b, pairs, min_words):
-                    if (x, p) != (r, q):
-                        rows.append((x_id[k], int(a0[p]), int(a1[p + n - 1]), n, r_id[k], int(b0[q]), int(b1[q + n - 1]), x, p))
-            cols = list(zip(*rows)) or [[]] * 9
-            names = ["doc_id", "start", "end", "n_words", "ref_doc_id", "ref_start", "ref_end", "nk", "first"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "n_words" else pa.int64()) for c, n in zip(cols, names)], names)
-
-    return run
+                    anchor = bloom.contains(shared.value, w.windows(n)[0])
+                else:
+                    hits = batch.column("hits").slice(i, j - i)
+                    own = np.repeat(np.arange(j - i), hits.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                    anchor = np.zeros(len(w.codes) - n + 1, bool)
+                    anchor[np.searchsorted(w.row, own) + hits.flatten().to_numpy(zero_copy_only=False)] = True
+                before = np.concatenate([[0], np.cumsum(anchor)])
+                at = np.flatnonzero(inside & (before[least - n + 1 :][: len(h)] > before[: len(h)]))
+                order = np.lexsort((at, h[at], w.row[at]))
+                s = at[order]
+                again = np.zeros(len(at), bool)
+                again[order[1:]] = (h[s[1:]] == h[s[:-1]]) & (w.row[s[1:]] == w.row[s[:-1]]) & (s[1:] - s[:-1] <= least)
+                start, end = w.chars()
+                ids = pa.array(w.row[at])
+                columns = [pa.array(h[at].view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids)]
+                columns += [pa.array(x.astype(np.int32)) for x in (w.place[at], start[at], end[at + least - 1])]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(again)], [c.split()[0] for c in RUNS.split(", ")])
+
+    return lean(run)
+
+
+def repeated_runs(docs: DataFrame, min_words: int, limit: int) -> DataFrame:
+    """Runs of ``min_words`` words that may stand elsewhere, too (all that do are among them), of documents (doc_id, nk, text)."""
+    spark, n = docs.sparkSession, block_words(min_words)
+    spaces = docs.agg(F.sum(F.ceil(F.octet_length("text") / 2 / n)).alias("n")).first()["n"] or 0
+    count = max(1, int(spaces) // 3)  # a word and its space have six bytes, as a rule; a fuller filter only lets more through
+    size = bloom.n_words(count)
+    if 8 * size <= limit:
+        filters = bloom.filters(docs.select("text"), _blocks(n), size)
+        anchors = bloom.filters(docs.select("text"), _anchors(n, spark.sparkContext.broadcast(filters)), size)[0]
+        return docs.mapInArrow(_runs(n, min_words, spark.sparkContext.broadcast(anchors)), RUNS)
+    hits = bloom.sharded(docs.mapInArrow(_all_windows(n), "h long, nk long, pos int, index boolean"), count)
+    hits = hits.groupBy("nk").agg(F.collect_list("pos").alias("hits"))
+    return docs.join(hits, "nk").mapInArrow(_runs(n, min_words, None), RUNS)
 
 
 def exact_repeats(docs: DataFrame, min_words: int = MIN_WORDS, limit: int = FILTER_BYTES) -> DataFrame:
-    """(doc_id, start, end, n_words, ref_doc_id, ref_start, ref_end): passages that stood before.
+    """(doc_id, start, end, n_words, ref_doc_id, ref_start): passages that stood before.
+
+    A run of ``min_words`` words (between white space, compared by 64-bit hashes) stood before if it also stands in an
+    earlier document or earlier in the same one: of a lesser doc_id (null last; ties by row key), then at a lesser position.
+    Its earliest place is its reference. Runs that follow each other in a document, word by word, are one passage if
+    their references do so, too, or if the text itself repeats the run within ``min_words`` words. So every run that
+    stood before lies in one passage, which is as long as both places agree or until an earlier place begins; a
+    word or phrase that goes on for long is one passage. ``start``, ``end`` and ``ref_start`` (of the first run) count characters.
 
-    A passage is a run of at least ``min_words`` words (between white space, compared exactly) that also
-    stands in an earlier document or earlier in the same one; it is as long as both places agree. Starts and
-    ends count characters. Earlier means a lesser doc_id (null last; ties by row key), then a lesser position.
-    Of the places where a block of (min_words + 1) // 2 words stands at a multiple of that length, the earliest
-    is the first reference; every run of ``min_words`` words holds such a block of its earlier place. Where the
-    places of a block stand among different words, the runs of ``min_words`` words through it are compared
-    themselves: one that stood before and that no passage so far holds is extended against its earliest place.
-    So each run of ``min_words`` words that stood before, anywhere, lies within a reported passage.
+    Any run holds a whole block of (min_words + 1) // 2 words at a multiple of that length. Blocks are the index, every rolling
+    window of that length probes it, and only runs through an anchor so found are compared. Filters beyond ``limit``
+    bytes stay in shards, to which the hashes of windows go, with equal results. Texts are never shuffled but then.
 
     Rows that agree in doc_id and text are one document, reported once. Null, empty and short texts have no
-    passages; a null doc_id is reported as null. Texts of any length are read whole. An empty table gives
-    an empty result; other columns are ignored. Beyond ``limit`` bytes of filter nothing is filtered before
-    the shuffle, with equal results.
+    passages; a null doc_id is reported as null. Ids are whole numbers. Texts of any length are read whole. An empty
+    table gives an empty result; other columns are ignored.
     """
     require(docs, "doc_id", "text")
-    n = block_words(min_words)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("nk"), "text").where(F.octet_length("text") >= 2 * min_words - 1)
-    spaces = F.octet_length("text") / 2 / n
-    at_most = int(slim.agg(F.sum(F.ceil(spaces)).alias("n")).first()["n"] or 0)
-    count = at_most
-    if 8 * bloom.n_words(at_most // 4) <= limit:  # a word has more than one letter, as a rule; a fuller filter only lets more through
-        count = max(1, at_most // 4)
-    size = bloom.n_words(count)
-    shared = None
-    if 8 * size <= limit:
-        shared = docs.sparkSession.sparkContext.broadcast(bloom.filters(slim.select("text"), _block_hashes(n), size))
-    found = "h long, doc_id long, nk long, pos int, context long"
-    seen = slim.mapInArrow(_probe(n, min_words, shared), f"{found}, block boolean")
-    if shared is None:
-        blocks = slim.mapInArrow(_probe(n, min_words, None), f"{found}, block boolean").where("block")
-    else:
-        # blocks whose hash is seen once are missed by the second filter, yet windows may equal them
-        blocks = slim.mapInArrow(_blocks(n, min_words), found)
-    here = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos", "context")
-    first = blocks.groupBy("h").agg(F.min(here).alias("r"), (F.min("context") != F.max("context")).alias("several"))
-    hits = seen.join(first, "h").where(F.col("r") < here)
-    pairs = hits.groupBy("nk", F.col("r.nk").alias("ref")).agg(
-        F.first("doc_id").alias("doc_id"), F.first("r.doc_id").alias("ref_id"), F.collect_list(F.struct("pos", F.col("r.pos").alias("ref_pos"))).alias("anchors"),
-        F.collect_set(F.when(F.col("several") & (F.col("context") != F.col("r.context")), F.col("h"))).alias("open"),
+    slim = distinct_rows(slim, "nk")
+    runs = stored(repeated_runs(slim, min_words, limit))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos", "start")
+    earliest = cut(runs.groupBy("h").agg(F.min(place).alias("r"), F.count("*").alias("n")).where("n > 1"))
+    later = join_counted(runs, earliest, "h").where("nk <> r.nk OR pos <> r.pos")
+    later = later.select("doc_id", "nk", "pos", "start", "end", "again", F.col("r.doc_id").alias("ref_id"), F.col("r.nk").alias("ref"), F.col("r.pos").alias("ref_pos"), F.col("r.start").alias("ref_start"))
+    w = Window.partitionBy("nk").orderBy("pos")
+    follows = (F.col("pos") == F.lag("pos").over(w) + 1) & (F.col("again") | ((F.col("ref") == F.lag("ref").over(w)) & (F.col("ref_pos") == F.lag("ref_pos").over(w) + 1)))
+    parts = later.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("part", F.sum("new").over(w))
+    passages = parts.groupBy("nk", "part").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), (F.max("pos") - F.min("pos") + min_words).alias("n_words"),
+        F.min(F.struct("pos", "ref_id", "ref_start")).alias("r"),
     )
-    pairs = cut(pairs)
-    text = slim.select("nk", "text")
-
-    def extended(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(text.withColumnRenamed("text", "x_text"), "nk").join(text.withColumnsRenamed({"nk": "ref", "text": "r_text"}), "ref")
-        return both.select("doc_id", "ref_id", "nk", "ref", "x_text", "r_text", "anchors").mapInArrow(_extend(min_words), f"{REPEATS}, nk long, first long").distinct()
-
-    columns = [c.split()[0] for c in REPEATS.split(", ")]
-    passages = extended(pairs)
-    open_blocks = pairs.select(F.explode("open").alias("h"))
-    n_open = open_blocks.agg(F.approx_count_distinct("h").alias("n")).first()["n"]
-    if not n_open:
-        return passages.select(*columns).distinct()
-    passages = cut(passages)
-    size, wanted = bloom.n_words(2 * n_open), None
-    if 8 * size <= limit:
-        wanted = docs.sparkSession.sparkContext.broadcast(bloom.filters(open_blocks, lambda batch: [batch.column("h").to_numpy().view(np.uint64)], size)[0])
-    here = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos")
-    runs = slim.mapInArrow(_long_windows(n, min_words, wanted), "h long, doc_id long, nk long, pos int")
-    earliest = runs.groupBy("h").agg(F.min(here).alias("r"), F.max(here).alias("last")).where("r < last").select("h", "r")
-    again = runs.join(earliest, "h").where(F.col("r") < here)
-    wins = again.groupBy("nk").agg(F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("pos", F.col("r.nk").alias("ref"), F.col("r.doc_id").alias("ref_id"), F.col("r.pos").alias("ref_pos"))).alias("wins"))
-    done = passages.groupBy("nk").agg(F.collect_list(F.struct(F.col("first").alias("a"), (F.col("first") + F.col("n_words")).alias("b"))).alias("done"))
-    left = wins.join(done, "nk", "left").mapInArrow(_unsettled(min_words), "nk long, ref long, doc_id long, ref_id long, pos int, ref_pos int")
-    more = left.groupBy("nk", "ref").agg(F.first("doc_id").alias("doc_id"), F.first("ref_id").alias("ref_id"), F.collect_list(F.struct("pos", "ref_pos")).alias("anchors"))
-    return passages.unionByName(extended(cut(more))).select(*columns).distinct()
-
-
-def _blocks(n: int, least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, data, offs in tv.slices(batch.column("text")):
-                row, place, h, context = around(data, offs, n, least)
-                own = place % n == 0
-                ids = pa.array(row[own])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[own].view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids), pa.array(place[own].astype(np.int32)), pa.array(context[own].view(np.int64))], ["h", "doc_id", "nk", "pos", "context"]
-                )
-
-    return run
+    return passages.select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "n_words", F.col("r.ref_id").alias("ref_doc_id"), F.col("r.ref_start").cast("long").alias("ref_start"))
+
+
+_S = r"\t\n\x0b\f\r "
+#: DuckDB: exact_repeats() of documents.
+REPEATS_SQL = rf"""
+WITH l AS (
+    SELECT doc_id, regexp_extract_all(text, '[^{_S}]+') AS w, regexp_extract_all(text, '[^{_S}]+[{_S}]*') AS f, length(regexp_extract(text, '^[{_S}]*')) AS skip FROM documents
+), g AS (
+    SELECT doc_id, w, skip, unnest(range(len(w))) AS pos, unnest(w) AS word, unnest(f) AS f FROM l WHERE len(w) >= {MIN_WORDS}
+), c AS (
+    SELECT doc_id, pos, word, skip + sum(length(f)) OVER (PARTITION BY doc_id ORDER BY pos) - length(f) AS start, len(w) AS n FROM g
+), p AS (
+    SELECT *, lead(start + length(word), {MIN_WORDS - 1}) OVER (PARTITION BY doc_id ORDER BY pos) AS "end" FROM c
+), t AS (
+    SELECT doc_id, unnest(range(len(w) - {MIN_WORDS - 1})) AS pos, unnest(list_transform(range(1, len(w) - {MIN_WORDS - 2}), lambda i: md5(array_to_string(w[i : i + {MIN_WORDS - 1}], ' ')))) AS h FROM l WHERE len(w) >= {MIN_WORDS}
+), e AS (
+    SELECT t.doc_id, t.pos, p.start, p."end", first_value(t.doc_id) OVER o AS rd, first_value(t.pos) OVER o AS rp, first_value(p.start) OVER o AS rs,
+        coalesce(t.pos - lag(t.pos) OVER (PARTITION BY h, t.doc_id ORDER BY t.pos) <= {MIN_WORDS}, false) AS again
+    FROM t JOIN p ON t.doc_id = p.doc_id AND t.pos = p.pos WINDOW o AS (PARTITION BY h ORDER BY t.doc_id, t.pos)
+), x AS (
+    SELECT *, CASE WHEN pos = lag(pos) OVER w + 1 AND (again OR (rd = lag(rd) OVER w AND rp = lag(rp) OVER w + 1)) THEN 0 ELSE 1 END AS new
+    FROM e WHERE doc_id <> rd OR pos <> rp WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), k AS (
+    SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS part FROM x
+)
+SELECT doc_id, min(start)::BIGINT AS start, max("end")::BIGINT AS "end", (max(pos) - min(pos) + {MIN_WORDS})::INTEGER AS n_words,
+    arg_min(rd, pos) AS ref_doc_id, arg_min(rs, pos)::BIGINT AS ref_start
+FROM k GROUP BY doc_id, part
+"""

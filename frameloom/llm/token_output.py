@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import require
+from frameloom.llm.common import lean, require
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -106,13 +107,15 @@ def decode(words: np.ndarray, n: int, offsets: np.ndarray | None = None, block:
     edges = np.asarray([0, len(words)] if offsets is None else offsets, np.int64)
     sel = (words >> _U64(60)).astype(np.int64)
     head = np.ones(len(words), bool)
-    if (sel == 0).any():  # a raw word after an escape may look like anything, so escapes are followed one by one
-        k = 0
-        while k < len(words):
-            if sel[k] == 0:
-                head[k + 1] = False
-                k += 1
-            k += 1
+    zero = np.flatnonzero(sel == 0)
+    if len(zero):
+        # the word after an escape is raw and may look like an escape; in a run of words that do, the first is one,
+        # as what stands before the run isn't, and then every second
+        begins = np.ones(len(zero), bool)
+        begins[1:] = np.diff(zero) != 1
+        start = zero[begins][np.cumsum(begins) - 1]
+        escape = zero[(zero - start) % 2 == 0]
+        head[escape + 1] = False
     at = np.flatnonzero(head)
     count = _COUNTS[sel[at]]
     owner = np.searchsorted(edges, at, "right") - 1
@@ -148,8 +151,10 @@ def encoder(vocabulary: str = VOCABULARY, split: str = SPLIT):
     return _encoders[vocabulary, split]
 
 
-#: Longer texts are tokenised in pieces that end before a white space, for the regular expression's sake.
+#: Longer texts are tokenised in pieces of at least so many characters, for the regular expression's sake. They end where
+#: white space follows something else, which no token spans; so a piece without such a place is longer.
 PIECE = 1 << 18
+_CUT = re.compile(r"\S(?=\s)")
 
 
 def tokens(text: str, enc) -> np.ndarray:
@@ -157,12 +162,8 @@ def tokens(text: str, enc) -> np.ndarray:
         return enc.encode_to_numpy(text, disallowed_special=()).astype(_U64)
     out, i = [], 0
     while i < len(text):
-        j = min(len(text), i + PIECE)
-        if j < len(text):
-            k = j
-            while k > i + 1 and not (text[k].isspace() and not text[k - 1].isspace()):
-                k -= 1
-            j = k if k > i + 1 else j
+        found = _CUT.search(text, i + PIECE)
+        j = found.end() if found else len(text)
         out.append(enc.encode_to_numpy(text[i:j], disallowed_special=()).astype(_U64))
         i = j
     return np.concatenate(out)
@@ -193,7 +194,7 @@ def _pack(vocabulary: str, block: int, place: list[str]):
                     [*place, "doc_id", "n_tokens", "words", "block_offsets"],
                 )
 
-    return run
+    return lean(run)
 
 
 def packed_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, block: int = BLOCK, place: str | None = None) -> DataFrame:
@@ -203,7 +204,7 @@ def packed_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, block: int = BL
     word of each block of ``block`` ids and the number of words, so that any block
     decodes on its own (see ``decode``). A null text has n_tokens null and no words; an
     empty one has n_tokens 0. Texts of any length are tokenised whole; those above
-    ``PIECE`` characters in pieces cut before white space. Repeated rows are
+    ``PIECE`` characters in pieces cut before white space, with the same ids. Repeated rows are
     encoded each; a null doc_id stays null. An empty table gives an empty result; other
     columns are left out. There is no shuffle. ``vocabulary`` is a file that every
     executor can read.

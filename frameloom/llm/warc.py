@@ -16,8 +16,8 @@ from frameloom.llm.common import cut, require
 EPOCH = 1704067200
 #: Bytes of a run that is sorted in memory; a task with more makes several runs.
 RUN_BYTES = 64 << 20
-#: Captures that one merging task should have.
-MERGE_ROWS = 250_000
+#: Captures that one merging task should have, and merging tasks at most (each sends one row to the driver).
+MERGE_ROWS, MERGE_TASKS = 250_000, 50_000
 OUT_ROWS = 20_000
 
 _PARTS = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))?([^?#]*)(?:[?]([^#]*))?"
@@ -188,7 +188,7 @@ def capture_histories(pages: DataFrame, run_bytes: int = RUN_BYTES, merge_rows:
     find the runs again and merge them by a loser tree. Written as files, entries follow each other by URL key and time.
     ``capture_no`` counts the captures of a key, ``seconds_since`` is the time since the one before, and ``revisit`` says
     that it has the same digest (SHA-1). A key of any number of captures may span partitions: what one needs of
-    the partitions before is carried over, a row for each partition.
+    the partitions before is carried over, a row for each of at most ``MERGE_TASKS`` partitions.
 
     ``captured_at`` is taken from the table; where it has no such column, page_id counts seconds from ``EPOCH``.
     A null time comes first, a null page_id last. A null URL has the key "", see ``url_key``; a null html has no digest or
@@ -198,7 +198,7 @@ def capture_histories(pages: DataFrame, run_bytes: int = RUN_BYTES, merge_rows:
     require(pages, "page_id", "url", "html")
     spark = pages.sparkSession
     runs = cut(captures(pages).mapInArrow(_runs(run_bytes), INDEX))
-    parts = max(1, -(-runs.count() // merge_rows), spark.sparkContext.defaultParallelism)
+    parts = max(1, min(MERGE_TASKS, -(-runs.count() // merge_rows)), spark.sparkContext.defaultParallelism)
     ranged = runs.repartitionByRange(parts, "url_key", "k_time", "k_none", "k_page")
     merged = cut(ranged.mapInArrow(_merge, INDEX)).withColumn("part", F.spark_partition_id())
     carried: dict[int, tuple] = {}
