@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions.vectors import seconds_between
+from frameloom.operators.folds import fold_sorted
 
 
 def fresh(now: Column | str, stamp: Column | str, max_age: float) -> Column:
@@ -36,20 +36,28 @@ def merge_latest(trigger: DataFrame, streams: Mapping[str, DataFrame], keys: Seq
     """One row for each trigger with the latest ``value`` of each stream, and the sorted names of ``missing`` ones.
 
     Streams in ``optional`` have a default and are missing only before their first value; the others are missing also
-    when stale. With ``only_complete`` rows without some required stream go, else stale values stay.
-    All streams are carried forward in one window.
+    when stale. With ``only_complete`` rows without some required stream go, else stale values stay. A null value
+    displaces nothing. All streams are put under the triggers, and carried forward in one window by one shuffle.
     """
     optional = optional or {}
     names = list(streams)
-    out = trigger
-    for name in names:
-        out = asof_latest(out, streams[name].select(*keys, ts, F.col("value").alias(name)), keys, ts, [name], keep_stale=True).withColumnRenamed(f"{ts}_of", f"_{name}")
-    gone = {n: F.col(f"_{n}").isNull() if n in optional else ~F.coalesce(fresh(ts, f"_{n}", max_age), F.lit(False)) for n in names}
+    slots = {n: f"_value_{k}" for k, n in enumerate(names)}
+    kinds = {n: F.struct(F.col(ts).alias("t"), F.col("value").alias("v")) for n in names}
+    types = {n: streams[n].select(kinds[n].alias("g")).schema["g"].dataType for n in names}
+    both = trigger.select("*", F.lit(1).alias("_side"), *(F.lit(None).cast(types[n]).alias(slots[n]) for n in names))
+    for n in names:
+        own = streams[n].where("value IS NOT NULL")
+        given = [F.col(c) if c in (*keys, ts) else F.lit(None).cast(trigger.schema[c].dataType).alias(c) for c in trigger.columns]
+        both = both.unionByName(own.select(*given, F.lit(0).alias("_side"), *((kinds[n] if m == n else F.lit(None).cast(types[m])).alias(slots[m]) for m in names)))
+    w = Window.partitionBy(*keys).orderBy(ts, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumns({s: F.last(s, ignorenulls=True).over(w) for s in slots.values()}).where("_side = 1")
+    gone = {n: F.col(slots[n]).isNull() if n in optional else ~F.coalesce(fresh(ts, F.col(slots[n])["t"], max_age), F.lit(False)) for n in names}
     out = out.withColumn("missing", F.array_sort(F.filter(F.array(*(F.when(g, F.lit(n)) for n, g in gone.items())), lambda x: x.isNotNull())))
     required = [n for n in names if n not in optional]
     if only_complete and required:
         out = out.where(~F.arrays_overlap("missing", F.array(*map(F.lit, required))))
-    return out.select(*trigger.columns, *(F.coalesce(n, optional[n]).alias(n) if n in optional else F.col(n) for n in names), "missing")
+    value = {n: F.col(slots[n])["v"] for n in names}
+    return out.select(*trigger.columns, *((F.coalesce(value[n], optional[n]) if n in optional else value[n]).alias(n) for n in names), "missing")
 
 
 def ticks(keys: DataFrame, ts: str, start: str, end: str, step: str) -> DataFrame:
@@ -69,16 +77,14 @@ def barrier_zip(events: DataFrame, key: str, order: str, stream: str, value: str
     A fast stream loses values between. Keys run in parallel; the events of one are folded in order.
     """
     kind = dict(events.dtypes)
-    schema = f"{key} {kind[key]}, {order} {kind[order]}, " + ", ".join(f"`{s}` {kind[value]}" for s in streams)
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        latest: dict[str, object] = {}
-        rows = []
-        for k, o, s, v in group.sort_values(order)[[key, order, stream, value]].itertuples(index=False):
-            latest[s] = v
-            if len(latest) == len(streams):
-                rows.append((k, o, *(latest[x] for x in streams)))
-                latest = {}
-        return pd.DataFrame(rows, columns=[key, order, *streams])
-
-    return events.where(F.col(stream).isin(*streams)).select(key, order, stream, value).groupBy(key).applyInPandas(fold, schema)
+    schema = f"`{key}` {kind[key]}, `{order}` {kind[order]}, " + ", ".join(f"`{s}` {kind[value]}" for s in streams)
+
+    def step(latest: dict, row: tuple) -> tuple[dict, tuple | None]:
+        k, o, s, v = row
+        latest = {**latest, s: v}
+        if len(latest) < len(streams):
+            return latest, None
+        return {}, (k, o, *(latest[x] for x in streams))
+
+    slim = events.where(F.col(stream).isin(*streams)).select(key, order, stream, value)
+    return fold_sorted(slim, [key], [order], step, schema, {})

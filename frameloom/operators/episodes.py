@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameloom.functions.vectors import seconds_between
+from frameloom.functions.vectors import not_blank, seconds_between
+from frameloom.operators.folds import fold_sorted
 
 START, STOP, DISCARD = 1, 2, 3
 #: Beside commands: a tick saves or drops what waits, a failure stops an episode until it is discarded.
@@ -32,19 +32,19 @@ def step(mode: str, code: int | None, prompt_ok: bool = True) -> tuple[str, bool
 
 
 def command_machine(commands: DataFrame, key: str, order: str, code: str, prompt: str | None = None) -> DataFrame:
-    """(key, order, code, mode, accepted, level): the state machine over each key's commands, with failures and saves."""
+    """(key, order, code, mode, accepted, level): the state machine over each key's commands, with failures and saves.
+
+    A START whose ``prompt`` is null or only white space of any kind is rejected in every mode.
+    """
     kind = dict(commands.dtypes)
-    slim = commands.select(key, order, F.col(code).cast("int").alias(code), (F.lit(True) if prompt is None else F.coalesce(F.length(F.trim(prompt)) > 0, F.lit(False))).alias("_ok"))
+    slim = commands.select(key, order, F.col(code).cast("int").alias(code), (F.lit(True) if prompt is None else not_blank(prompt)).alias("_ok"))
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order)
-        mode, rows = "IDLE", []
-        for k, o, c, ok in group.itertuples(index=False):
-            mode, accepted, level = step(mode, None if pd.isna(c) else int(c), bool(ok))
-            rows.append((k, o, c, mode, accepted, level))
-        return pd.DataFrame(rows, columns=[key, order, code, "mode", "accepted", "level"])
+    def fold(mode: str, row: tuple) -> tuple[str, tuple]:
+        k, o, c, ok = row
+        mode, accepted, level = step(mode, c, ok)
+        return mode, (k, o, c, mode, accepted, level)
 
-    return slim.groupBy(key).applyInPandas(fold, f"{key} {kind[key]}, {order} {kind[order]}, {code} int, mode string, accepted boolean, level string")
+    return fold_sorted(slim, [key], [order], fold, f"`{key}` {kind[key]}, `{order}` {kind[order]}, `{code}` int, mode string, accepted boolean, level string", "IDLE")
 
 
 def session_commands(commands: DataFrame, key: str, order: str, code: str) -> DataFrame:
@@ -55,13 +55,19 @@ def session_commands(commands: DataFrame, key: str, order: str, code: str) -> Da
 
 
 def session_frames(rows: DataFrame, key: str, order: str, code: str) -> DataFrame:
-    """Rows without command that lie between an accepted START and its end, with (session, frame_index)."""
+    """Rows without command that lie between an accepted START and its end, with (session, frame_index).
+
+    Sessions that end in DISCARD leave no frame; one that hasn't ended keeps its own.
+    """
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rest = Window.partitionBy(key).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
     last = rows.withColumn("_last", F.last(code, ignorenulls=True).over(w))
     before = F.lag("_last").over(Window.partitionBy(key).orderBy(order))
     starts = last.withColumn("_start", ((F.col(code) == START) & (F.coalesce(before, F.lit(0)) != START)).cast("int"))
-    inside = starts.withColumn("session", F.sum(F.coalesce("_start", F.lit(0))).over(w)).where(F.col(code).isNull() & (F.col("_last") == START))
-    return inside.withColumn("frame_index", F.row_number().over(Window.partitionBy(key, "session").orderBy(order)) - 1).drop("_last", "_start")
+    end = F.first(F.when(F.col(code) != START, F.col(code)), ignorenulls=True).over(rest)
+    numbered = starts.withColumn("session", F.sum(F.coalesce("_start", F.lit(0))).over(w)).withColumn("_end", end)
+    inside = numbered.where(F.col(code).isNull() & (F.col("_last") == START) & ~F.col("_end").eqNullSafe(F.lit(DISCARD)))
+    return inside.withColumn("frame_index", F.row_number().over(Window.partitionBy(key, "session").orderBy(order)) - 1).drop("_last", "_start", "_end")
 
 
 def episode_index(rows: DataFrame, episode: str, order: str) -> DataFrame:
@@ -107,17 +113,16 @@ def recoveries(events: DataFrame, keys: Sequence[str], ts: str, bad: Column) ->
 
 def throttle(events: DataFrame, keys: Sequence[str], order: str, ts: str, seconds: float) -> DataFrame:
     """Rows of each key that come at least ``seconds`` after the last one that was let through."""
+    names = events.columns
+    at = names.index(ts)
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([ts, order])
-        last, keep = None, []
-        for t in group[ts]:
-            ok = last is None or (t - last).total_seconds() >= seconds
-            keep.append(ok)
-            last = t if ok else last
-        return group[keep]
+    def step(last, row: tuple):
+        t = row[at]
+        if last is not None and (t - last).total_seconds() < seconds:
+            return last, None
+        return t, row
 
-    return events.groupBy(*keys).applyInPandas(fold, events.schema)
+    return fold_sorted(events, keys, [ts, order], step, ", ".join(f"`{c}` {t}" for c, t in events.dtypes))
 
 
 def rate(events: DataFrame, keys: Sequence[str], ts: str, every: int) -> DataFrame:
@@ -131,3 +136,27 @@ def latest_per_key(events: DataFrame, keys: Sequence[str], ts: str, values: Sequ
     """The values of each key's last row, by partial aggregation."""
     last = F.max_by(F.struct(*values), F.col(ts)).alias("_v")
     return events.groupBy(*keys).agg(F.max(ts).alias(ts), last).select(*keys, ts, *(F.col("_v")[v].alias(v) for v in values))
+
+
+def worst_level(rows: DataFrame, keys: Sequence[str], levels: Sequence[str]) -> DataFrame:
+    """(keys, level, n): the greatest of several levels in a key's rows (null counts as none), and the number of rows."""
+    return rows.groupBy(*keys).agg(F.max(F.greatest(*(F.col(c) for c in levels)) if len(levels) > 1 else F.col(levels[0])).alias("level"), F.count("*").alias("n"))
+
+
+def first_values(rows: DataFrame, episode: str, order: str, values: Sequence[str]) -> DataFrame:
+    """(episode, values): of each column the first value of an episode that isn't null, by partial aggregation."""
+    first = {v: F.min(F.when(F.col(f"`{v}`").isNotNull(), F.struct(F.col(order).alias("o"), F.col(f"`{v}`").alias("v"))))["v"] for v in values}
+    return rows.groupBy(episode).agg(*(c.alias(v) for v, c in first.items()))
+
+
+def frame_number(rows: DataFrame) -> Column:
+    """``frame_index``, where that is null or absent ``index``; an error where both are."""
+    have = [F.col(c) for c in ("frame_index", "index") if c in rows.columns]
+    return F.coalesce(*have, F.raise_error(F.lit("a row has neither frame_index nor index")).cast("long")).cast("long")
+
+
+def require_dense(rows: DataFrame, episode: str, index: str) -> None:
+    """An error that names the first ten episodes whose ``index`` isn't 0, 1, and so on."""
+    bad = dense_check(rows, episode, index).where("NOT dense").orderBy(episode).limit(10).collect()
+    if bad:
+        raise ValueError(f"{index} isn't dense in {[r[0] for r in bad]}")

@@ -31,13 +31,32 @@ def vector_stats_record(rows: DataFrame, keys: Sequence[str], vector: str) -> Da
 
 
 def channel_partials(pixels: DataFrame, keys: Sequence[str], values: str, channels: int = 3, scale: float = 255.0) -> DataFrame:
-    """(keys, channel, lo, hi, total, squares, n) of interleaved channel values; sums of such rows are such rows."""
+    """(keys, channel, lo, hi, total, squares, n, frames) of interleaved channel values of a frame for each key; sums of such rows are such rows."""
     x = pixels.select(*keys, F.posexplode(F.col(values).cast("array<double>")).alias("pos", "v")).select(*keys, (F.col("pos") % channels).alias("channel"), (F.col("v") / scale).alias("v"))
-    return x.groupBy(*keys, "channel").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("v").alias("total"), F.sum(F.col("v") * F.col("v")).alias("squares"), F.count("v").alias("n"))
+    return x.groupBy(*keys, "channel").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("v").alias("total"), F.sum(F.col("v") * F.col("v")).alias("squares"), F.count("v").alias("n"), F.lit(1).cast("long").alias("frames"))
 
 
 def merge_channels(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, channel, min, max, mean, std, count); variances below zero by rounding are zero."""
-    s = partials.groupBy(*keys, "channel").agg(F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("total").alias("t"), F.sum("squares").alias("q"), F.sum("n").alias("count"))
-    mean = F.col("t") / F.col("count")
-    return s.select(*keys, "channel", "min", "max", mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.col("q") / F.col("count") - mean * mean)).alias("std"), "count")
+    """(keys, channel, min, max, mean, std, count): weighted by pixels, while ``count`` is that of frames; variances below zero by rounding are zero."""
+    s = partials.groupBy(*keys, "channel").agg(F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("total").alias("t"), F.sum("squares").alias("q"), F.sum("n").alias("n"), F.sum("frames").alias("count"))
+    mean = F.col("t") / F.col("n")
+    return s.select(*keys, "channel", "min", "max", mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean)).alias("std"), "count")
+
+
+def episode_stats(rows: DataFrame, episode: str, vectors: Sequence[str], scalars: Sequence[str], images: DataFrame | None = None) -> DataFrame:
+    """(episode, name, min, max, mean, std, count): a row for each column, of lists of each place (one for a scalar).
+
+    ``images`` are partials of ``channel_partials`` with a column ``name``; their lists have a value for each channel, and
+    their count is that of frames.
+    """
+    names = ("min", "max", "mean", "std")
+    long = None
+    for c in (*vectors, *scalars):
+        value = F.col(f"`{c}`").cast("array<double>") if c in vectors else F.array(F.col(f"`{c}`").cast("double"))
+        part = rows.select(episode, F.lit(c).alias("name"), F.posexplode(value).alias("pos", "x"))
+        long = part if long is None else long.unionByName(part)
+    per = long.groupBy(episode, "name", "pos").agg(*_five("x"))
+    if images is not None:
+        per = per.unionByName(merge_channels(images, [episode, "name"]).withColumnRenamed("channel", "pos").select(*per.columns))
+    packed = per.groupBy(episode, "name").agg(F.sort_array(F.collect_list(F.struct("pos", *names))).alias("p"), F.max("count").alias("count"))
+    return packed.select(episode, "name", *(F.col("p")[n].alias(n) for n in names), "count")

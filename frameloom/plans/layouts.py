@@ -91,5 +91,5 @@ def modality(state: dict[str, int], action: dict[str, int], cameras: Sequence[st
         "state": slices(state),
         "action": slices(action),
         "video": {c.rsplit(".", 1)[-1]: {"original_key": c} for c in sorted(cameras)},
-        "annotation": {"human.action.task_description": {"original_key": "task_index"}},
+        "annotation": {"annotation.human.action.task_description": {}},
     }

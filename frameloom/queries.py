@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frameloom.functions import names as N
 from frameloom.functions import vectors as V
-from frameloom.operators import align, episodes, stats, tasks
-from frameloom.plans import layouts
+from frameloom.operators import align, bundles, episodes, stats, tasks
+from frameloom.plans import documents, layouts
+from frameloom.streaming import feeds
 
 HOUR = 3600.0
 SESSION_CODE = "CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'error' THEN 3 END"
@@ -42,6 +44,16 @@ def merge_required(spark: SparkSession, d: str) -> DataFrame:
     return align.merge_latest(trigger, {"view": one("view"), "signup": one("signup")}, ["user_id"], "ts", 48 * HOUR).select("event_id", "user_id", "view", "signup")
 
 
+def merge_many(spark: SparkSession, d: str) -> DataFrame:
+    """Three streams, one of them optional, in one window; a null value displaces none."""
+    events = _table(spark, d, "events").select("user_id", "ts", "value", "event_type", "event_id")
+    one = lambda k: events.where(F.col("event_type") == k).select("user_id", "ts", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+    trigger = events.where("event_type = 'click'").select("event_id", "user_id", "ts")
+    streams = {k: one(k) for k in ("view", "signup", "error")}
+    out = align.merge_latest(trigger, streams, ["user_id"], "ts", 48 * HOUR, {"error": F.lit(-1.0)}, only_complete=False)
+    return out.select("event_id", "view", "signup", "error", F.array_join("missing", ",").alias("missing"))
+
+
 def tick_resample(spark: SparkSession, d: str) -> DataFrame:
     events = _table(spark, d, "events").select("user_id", "ts", "value")
     return align.tick_resample(events, ["user_id"], "ts", ["value"], "2024-01-01 00:00:00", "2024-01-31 00:00:00", "12 HOURS", 24 * HOUR).select("user_id", "ts", "value")
@@ -123,7 +135,7 @@ def history_slice(spark: SparkSession, d: str) -> DataFrame:
     e = _table(spark, d, "embeddings")
     last, first = V.history_window("embedding", 16, -1), V.history_window("embedding", 16, 0)
     total = lambda v: F.round(F.aggregate(v.cast("array<double>"), F.lit(0.0), lambda s, x: s + x), 6)
-    return e.select("vec_id", F.size(last).alias("width"), total(last).alias("last_sum"), total(first).alias("first_sum"), F.round(last[0].cast("double"), 6).alias("head"))
+    return e.select("vec_id", F.size(last).alias("width"), total(last).alias("last_sum"), total(first).alias("first_sum"), F.array_join(F.transform(last, lambda x: F.format_string("%.6f", x.cast("double"))), ",").alias("last"))
 
 
 def vector_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -158,6 +170,18 @@ def suffix_pivot(spark: SparkSession, d: str) -> DataFrame:
     return tasks.suffix_pivot(long, "name", ["position", "effort"], {"_joint": "joint", "_cmd": "cmd", "_gain": "gain"})
 
 
+def joint_state(spark: SparkSession, d: str) -> DataFrame:
+    """By region, the nations as joints with their commands and gains, and feet as the rest."""
+    n = _table(spark, d, "nation")
+    long = None
+    for k, suffix in enumerate(("_joint", "_cmd", "_gain", "_foot")):
+        part = n.select("n_regionkey", F.concat(F.lower("n_name"), F.lit(suffix)).alias("name"), (F.col("n_nationkey") * (1 if k != 1 else -1)).alias("at"), (F.col("n_nationkey") + 100 * k).cast("double").alias("position"), (F.col("n_regionkey") + 10 * k).cast("double").alias("effort"))
+        long = part if long is None else long.unionByName(part)
+    out = tasks.joint_state(long, "n_regionkey", "at", "name", ["position", "effort"], {"_joint": "joint", "_cmd": "cmd", "_gain": "gain"}, "effort")
+    lists = [F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")) if c not in ("names", "rest_names") else F.col(c), ",").alias(c) for c in out.columns if c != "n_regionkey"]
+    return out.select("n_regionkey", *lists)
+
+
 def name_match(spark: SparkSession, d: str) -> DataFrame:
     n = _table(spark, d, "nation")
     return tasks.unmatched_names(n.where("n_nationkey < 15").select("n_name"), n.where("n_nationkey > 5").select("n_name"), "n_name")
@@ -184,9 +208,126 @@ def latest_per_key(spark: SparkSession, d: str) -> DataFrame:
     return episodes.latest_per_key(_table(spark, d, "events"), ["user_id"], "ts", ["event_id", "value"]).select("user_id", "event_id", "value")
 
 
+_LEVEL = "CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 1 ELSE 0 END"
+
+
 def status_level(spark: SparkSession, d: str) -> DataFrame:
-    level = F.expr("CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 1 ELSE 0 END")
-    return _table(spark, d, "events").groupBy("user_id").agg(F.max(level).alias("level"), F.count("*").alias("n"))
+    rows = _table(spark, d, "events").withColumns({"own": F.expr(_LEVEL), "upstream": (F.col("event_id") % 2).cast("int")})
+    return episodes.worst_level(rows, ["user_id"], ["own", "upstream"])
+
+
+def status_report(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "events").withColumn("level", F.expr(_LEVEL))
+    out = feeds.status_rows(rows, ["user_id"], "level", "event_type", {"limit": "0.2"})
+    return out.select("user_id", "level", "message", "n", out["values"]["limit"].alias("limit"), out["values"]["level_1"].alias("level_1"))
+
+
+def _packets(spark: SparkSession, d: str) -> DataFrame:
+    """Each event as a packet of up to two images."""
+    e = _table(spark, d, "events")
+    images = F.expr("map_filter(map('head', CAST(event_type AS BINARY), 'ego', CASE WHEN event_type <> 'error' THEN CAST(event_id AS STRING) END), (k, v) -> v IS NOT NULL)").cast("map<string,binary>")
+    times = F.expr("map('head', CAST(event_id AS DOUBLE), 'ego', (event_id + 1) * 1e12D)")
+    return e.select("user_id", "ts", "event_id", images.alias("images"), times.alias("timestamps"))
+
+
+def packet_decode(spark: SparkSession, d: str) -> DataFrame:
+    """A codec that can't read one kind of image."""
+    out = bundles.decode_packets(_packets(spark, d), lambda blob, unchanged: None if blob == b"click" else blob[::-1])
+    return out.select("event_id", F.array_join(F.array_sort(F.map_keys("images")), ",").alias("names"), F.try_element_at("images", F.lit("head")).cast("string").alias("head"))
+
+
+def bundle_complete(spark: SparkSession, d: str) -> DataFrame:
+    out = bundles.complete_bundles(_packets(spark, d), ["head", "ego"])
+    return out.select("event_id", F.array_join("missing", ",").alias("missing"), F.col("bundle")["ego"]["camera_time"].alias("ego_time"), F.when(F.col("bundle").isNotNull(), bundles.bundle_image(F.transform_values("bundle", lambda k, v: v["image"]), "observation.images.head")).cast("string").alias("head"))
+
+
+def tick_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Ticks of half a day with the latest sample (views) and bundle (all packets; incomplete ones clear it), and why one is skipped."""
+    e = _table(spark, d, "events")
+    at = align.ticks(e.select("user_id").distinct(), "ts", "2024-01-01 00:00:00", "2024-01-31 00:00:00", "12 HOURS")
+    sample = align.asof_latest(at, e.where("event_type = 'view'"), ["user_id"], "ts", ["value"], keep_stale=True).withColumnRenamed("ts_of", "sample_ts")
+    held = bundles.latest_bundles(sample, bundles.complete_bundles(_packets(spark, d), ["head", "ego"]).select("user_id", "ts", "bundle"), ["user_id"], "ts").withColumnRenamed("ts_of", "bundle_ts")
+    gated = bundles.gate_ticks(held, "ts", F.col("user_id") % 10 != 3, "sample_ts", "bundle_ts", 48 * HOUR, 24 * HOUR)
+    kept = bundles.numbered_frames(gated, ["user_id"], "ts").select("user_id", "ts", "frame_index")
+    return gated.select("user_id", "ts", "skip").join(kept, ["user_id", "ts"], "left")
+
+
+def first_values(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "events").withColumn("late", F.when(F.col("event_type") == "purchase", F.col("event_id")))
+    return episodes.first_values(rows, "user_id", "event_id", ["event_type", "late"])
+
+
+def frame_number(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("index"), F.when(F.col("l_linenumber") > 2, F.col("l_linenumber") * 10).alias("frame_index"))
+    return rows.select("l_orderkey", "index", episodes.frame_number(rows).alias("n"))
+
+
+def task_values(spark: SparkSession, d: str) -> DataFrame:
+    """Task texts as bytes with white space around."""
+    rows = _turns(spark, d).withColumn("task", F.concat(F.lit(" \t"), "role", F.lit("\n")).cast("binary"))
+    known = spark.createDataFrame([("system", 4)], "task string, task_index long")
+    return tasks.task_codes(rows, "task", ["conv_id", "turn"], known)[0].select("conv_id", "turn", "task_index")
+
+
+def nested_record(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as nested messages, flattened to dotted columns and selected."""
+    o = _table(spark, d, "orders").select("o_orderkey", F.struct(F.struct(F.col("o_totalprice").alias("x"), F.col("o_custkey").cast("double").alias("y")).alias("gyro"), F.array("o_totalprice").alias("joint")).alias("imu"))
+    flat = bundles.flatten_record(o, {"imu.gyro": "observation.state.gyro", "imu.joint": "action.joint"}, ["o_orderkey"])
+    picked = bundles.select_fields(flat, {"state": ["gyro"], "target": ["joint"]}, ["o_orderkey"])
+    back = bundles.nest_record(picked, {"sample": {"gyro": "observation.state.gyro", "joint": "action.joint"}}, ["o_orderkey"])
+    return back.select("o_orderkey", F.col("sample.gyro")[1].cast("double").alias("y"), F.size("sample.gyro").alias("width"), F.round(F.col("sample.joint")[0].cast("double"), 0).alias("joint"))
+
+
+def list_lengths(spark: SparkSession, d: str) -> DataFrame:
+    o = _table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("l"))
+    zipped = o.select("l_orderkey", F.col("l.l_linenumber").alias("a"), F.col("l.l_quantity").alias("b"))
+    return zipped.select("l_orderkey", F.explode(tasks.parallel_lists(["a", "b"])).alias("z")).select("l_orderkey", F.col("z.a").alias("line"), F.col("z.b").alias("quantity"))
+
+
+def required_streams(spark: SparkSession, d: str) -> DataFrame:
+    per = _table(spark, d, "events").where("ts < TIMESTAMP_NTZ'2024-01-08'").groupBy("user_id").agg(F.collect_set("event_type").alias("have"))
+    return per.select("user_id", F.array_join(tasks.missing_of(["view", "click", "signup", "error", "purchase"], "have"), ",").alias("missing"))
+
+
+def episode_forms(spark: SparkSession, d: str) -> DataFrame:
+    """The three forms of episode records, side by side."""
+    m = layouts.episode_records(_turns(spark, d), "conv_id", "turn", "role")
+    full = m.withColumns({"episode_id": F.lit("").cast("string"), "task_index": F.lit(0), "video_path": F.concat(F.lit("videos/head/"), F.col("episode_index").cast("string")), "video_paths": F.create_map(F.lit("head"), F.concat(F.lit("videos/head/"), F.col("episode_index").cast("string"))), "dataset_from_index": F.col("from_index"), "dataset_to_index": F.col("to_index")})
+    parts = [documents.episode_rows(full, form).select("episode_index", F.lit(form).alias("form"), F.lit(n).alias("width"), F.to_json(F.struct("tasks", "length")).alias("record")) for form, n in (("collected", 11), ("state_action", 6), ("compact", 3))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def episode_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of vectors, scalars and images as records by episode and column."""
+    e = _table(spark, d, "embeddings").withColumnRenamed("label", "episode")
+    images = stats.channel_partials(e.withColumn("name", F.lit("image")), ["episode", "name", "vec_id"], "embedding")
+    out = stats.episode_stats(e, "episode", ["embedding"], ["vec_id"], images)
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda s, x: s + x), 6)
+    return out.select("episode", "name", F.size("mean").alias("width"), *(total(c).alias(c) for c in ("min", "max", "mean", "std")), "count")
+
+
+def running_total(spark: SparkSession, d: str) -> DataFrame:
+    """Episodes in two lots, the second after the first: the greatest end so far and the next number (reopening and appending)."""
+    turns = _turns(spark, d)
+    half = (turns.agg(F.max("conv_id").alias("m")).first()["m"] or 0) // 2
+    a = layouts.episode_records(turns.where(F.col("conv_id") <= half), "conv_id", "turn", "role").select("episode_index", "length", "to_index")
+    end = a.agg(F.coalesce(F.max("to_index"), F.lit(0)).alias("end"))
+    b = layouts.episode_records(turns.where(F.col("conv_id") > half), "conv_id", "turn", "role").crossJoin(F.broadcast(end)).select("episode_index", "length", (F.col("to_index") + F.col("end")).alias("to_index"))
+    return a.unionByName(b)
+
+
+def text_functions(spark: SparkSession, d: str) -> DataFrame:
+    n = _table(spark, d, "nation")
+    pair = N.split_pair(F.concat("n_name", F.lit(" : a:b")))
+    m = F.create_map(F.lit("a"), F.col("n_regionkey"), F.lit("b"), F.col("n_nationkey"))
+    return n.select(
+        "n_nationkey", pair["left"].alias("left_part"), pair["right"].alias("right_part"), N.namespace(F.concat(F.lit(" //x/"), "n_name", F.lit("/ "))).alias("namespace"),
+        N.text_of(F.col("n_name").cast("binary")).alias("decoded"), N.last_part(F.concat(F.lit("observation.images."), "n_name"), "observation.images.").alias("stream"), N.last_part(F.concat(F.lit("x.y."), "n_name"), "z.").alias("tail"),
+        N.fill_template("d/{chunk:03d}/{name}.p", chunk=F.col("n_regionkey"), name=F.col("n_name")).alias("path"), N.latency_ms(F.col("n_nationkey") + F.lit(1.5), (F.col("n_nationkey") + 2) * F.lit(1e0)).alias("latency"),
+        N.dataset_name(F.expr("TIMESTAMP_NTZ'2024-03-01 04:05:06'")).alias("dataset"), N.look_up(m, "z", "b").alias("found"), N.look_up(m, "z", default=F.lit(-1)).alias("other"),
+        F.array_join(N.tensor_shape(F.array(F.array(F.array(F.lit(1), F.lit(2)))), 3).cast("array<string>"), ",").alias("shape"),
+        N.components(F.struct(F.col("n_nationkey").alias("x"), F.lit(2).alias("y"), F.lit(3).alias("z")))[0].cast("double").alias("first"),
+    )
 
 
 def duplicate_names(spark: SparkSession, d: str) -> DataFrame:
@@ -194,8 +335,11 @@ def duplicate_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def schema_diff(spark: SparkSession, d: str) -> DataFrame:
-    missing, extra = tasks.schema_difference(_table(spark, d, "events").columns, _table(spark, d, "conversations").columns + ["value"])
-    return spark.createDataFrame([(c, "missing") for c in missing] + [(c, "extra") for c in extra], "name string, side string")
+    """Keys of the JSON in each event's props that aren't wanted, and wanted ones that it lacks."""
+    keys = _table(spark, d, "events").select("event_type", F.explode(F.json_object_keys("props")).alias("name")).distinct().groupBy("event_type").agg(F.collect_set("name").alias("have"))
+    want = F.array(F.lit("a"), F.lit("z"))
+    sides = keys.select("event_type", F.explode(F.array_union(F.transform(F.array_except(want, "have"), lambda x: F.struct(x.alias("name"), F.lit("missing").alias("side"))), F.transform(F.array_except("have", want), lambda x: F.struct(x.alias("name"), F.lit("extra").alias("side"))))).alias("s"))
+    return sides.select("event_type", "s.name", "s.side")
 
 
 def json_meta(spark: SparkSession, d: str) -> DataFrame:
@@ -227,21 +371,28 @@ def _frames(spark: SparkSession, d: str) -> DataFrame:
     return e.select(F.col("label").alias("episode_index"), F.col("vec_id").alias("frame_index"), (F.col("vec_id") % 3).alias("task_index"), F.slice("embedding", 1, 40).alias("observation.state.a"), F.slice("embedding", 41, 8).alias("observation.state.b"), F.slice("embedding", 49, 16).alias("action.c"))
 
 
+def _listed(c: str) -> Column:
+    """All values of a vector as text, to six decimals."""
+    return F.array_join(F.transform(F.col(c), lambda x: F.format_string("%.6f", x.cast("double"))), ",")
+
+
 def layout_state_action(spark: SparkSession, d: str) -> DataFrame:
     out = layouts.state_action_layout(_frames(spark, d), [("observation.state.b", 8), ("observation.state.a", 40)], ("action.c", 16))
-    return out.select("episode_index", "frame_index", "index", "task_index", F.round(F.col("timestamp").cast("double"), 4).alias("ts"), F.col("`next.done`").alias("done"), F.size("`observation.state`").alias("state_width"), F.round(F.col("`observation.state`")[0].cast("double"), 6).alias("state_0"), F.round(F.col("action")[15].cast("double"), 6).alias("action_15"))
+    return out.select("episode_index", "frame_index", "index", "task_index", F.round(F.col("timestamp").cast("double"), 4).alias("ts"), F.col("`next.done`").alias("done"), F.col("`next.reward`").cast("double").alias("reward"), _listed("`observation.state`").alias("state"), _listed("action").alias("action"))
 
 
 def layout_compact(spark: SparkSession, d: str) -> DataFrame:
     out = layouts.compact_layout(_frames(spark, d), "observation.state.a", "action.c", width=8, window=-2)
-    return out.select("episode_index", "frame_index", "index", F.round(F.col("state")[0].cast("double"), 6).alias("state_0"), F.round(F.col("actions")[7].cast("double"), 6).alias("actions_7"))
+    return out.select("episode_index", "frame_index", "index", _listed("state").alias("state"), _listed("actions").alias("actions"))
 
 
 QUERIES = {f.__name__: f for f in (
-    asof_latest, asof_optional_default, merge_required, tick_resample, barrier_zip, session_commands, session_frames, command_machine, episode_index, done_flag,
+    asof_latest, asof_optional_default, merge_required, merge_many, tick_resample, barrier_zip, session_commands, session_frames, command_machine, episode_index, done_flag,
     dense_check, dense_episodes, physical_order, task_encode, task_decode, task_extend, episode_tasks, vector_concat, history_slice, vector_stats, scalar_stats,
     image_stats_partial, vector_l2, suffix_pivot, name_match, throttle, gap_log, recovery_edge, windowed_rate, latest_per_key, status_level, duplicate_names,
     schema_diff, json_meta, path_layout, episode_meta, dataset_info, name_functions, layout_state_action, layout_compact,
+    joint_state, status_report, packet_decode, bundle_complete, tick_gate, first_values, frame_number, task_values, nested_record, list_lengths, required_streams, episode_forms, episode_stats,
+    running_total, text_functions,
 )}
 
 _SIDES = "c AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'click'), v AS (SELECT user_id, ts, value, event_id AS view_id FROM events WHERE event_type = 'view')"
@@ -250,6 +401,11 @@ _RN = "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r
 _EP = "SELECT conv_id, count(*) AS length, sum(count(*)) OVER (ORDER BY conv_id)::BIGINT AS to_index FROM conversations GROUP BY conv_id"
 _FR = "SELECT label AS episode_index, vec_id, vec_id % 3 AS task_index, embedding AS e, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_index, lead(1) OVER (PARTITION BY label ORDER BY vec_id) IS NULL AS done, row_number() OVER (ORDER BY label, vec_id) - 1 AS index FROM embeddings"
 
+
+def _LS(v: str) -> str:
+    return f"array_to_string(list_transform({v}, lambda x: printf('%.6f', x::DOUBLE)), ',')"
+
+
 ORACLE_SQL: dict[str, str] = {
     "asof_latest": f"WITH {_SIDES} SELECT c.event_id, c.user_id, c.ts, CASE WHEN c.ts - v.ts <= INTERVAL 6 HOUR THEN v.value END AS view_value, CASE WHEN c.ts - v.ts <= INTERVAL 6 HOUR THEN v.view_id END AS view_id FROM c ASOF LEFT JOIN v ON c.user_id = v.user_id AND c.ts >= v.ts",
     "asof_optional_default": f"WITH {_SIDES} SELECT c.event_id, c.user_id, coalesce(v.value, 0::DOUBLE) AS view_value, v.ts IS NULL AS missing FROM c ASOF LEFT JOIN v ON c.user_id = v.user_id AND c.ts >= v.ts",
@@ -260,7 +416,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT e.user_id, e.rn, e.event_id, CASE WHEN e.event_type = 'view' THEN e.value WHEN f.v + f.c + f.r IS NULL THEN f.v END, CASE WHEN e.event_type = 'click' THEN e.value WHEN f.v + f.c + f.r IS NULL THEN f.c END, CASE WHEN e.event_type = 'error' THEN e.value WHEN f.v + f.c + f.r IS NULL THEN f.r END
         FROM f JOIN e ON e.user_id = f.user_id AND e.rn = f.rn + 1) SELECT user_id, event_id, v AS view, c AS click, r AS error FROM f WHERE v + c + r IS NOT NULL""",
     "session_commands": f"WITH c AS (SELECT user_id, event_id, {SESSION_CODE} AS code FROM events), n AS (SELECT *, coalesce(lag(code) OVER ({_PER}) = 1, false) AS rec FROM c WHERE code IS NOT NULL) SELECT user_id, event_id, code::INTEGER AS code, CASE WHEN code = 1 THEN NOT rec ELSE rec END AS accepted FROM n",
-    "session_frames": f"WITH c AS (SELECT user_id, event_id, {SESSION_CODE} AS code FROM events), l AS (SELECT *, last_value(code IGNORE NULLS) OVER ({_PER} ROWS UNBOUNDED PRECEDING) AS last FROM c), s AS (SELECT *, CASE WHEN code = 1 AND coalesce(lag(last) OVER ({_PER}), 0) <> 1 THEN 1 ELSE 0 END AS st FROM l), n AS (SELECT *, sum(st) OVER ({_PER} ROWS UNBOUNDED PRECEDING)::BIGINT AS session FROM s) SELECT user_id, event_id, session, (row_number() OVER (PARTITION BY user_id, session ORDER BY event_id) - 1)::INTEGER AS frame_index FROM n WHERE code IS NULL AND last = 1",
+    "session_frames": f"WITH c AS (SELECT user_id, event_id, {SESSION_CODE} AS code FROM events), l AS (SELECT *, last_value(code IGNORE NULLS) OVER ({_PER} ROWS UNBOUNDED PRECEDING) AS last FROM c), s AS (SELECT *, CASE WHEN code = 1 AND coalesce(lag(last) OVER ({_PER}), 0) <> 1 THEN 1 ELSE 0 END AS st FROM l), n AS (SELECT *, sum(st) OVER ({_PER} ROWS UNBOUNDED PRECEDING)::BIGINT AS session, first_value(nullif(code, 1) IGNORE NULLS) OVER ({_PER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fin FROM s) SELECT user_id, event_id, session, (row_number() OVER (PARTITION BY user_id, session ORDER BY event_id) - 1)::INTEGER AS frame_index FROM n WHERE code IS NULL AND last = 1 AND coalesce(fin, 0) <> 3",
     "command_machine": f"""WITH RECURSIVE e AS ({_RN} (SELECT user_id, event_id, ({MACHINE_CODE})::INTEGER AS code FROM events)),
         f AS (SELECT user_id, 0::BIGINT AS rn, NULL::BIGINT AS event_id, NULL::INTEGER AS code, 'IDLE' AS mode, false AS accepted FROM (SELECT DISTINCT user_id FROM e) UNION ALL
         SELECT e.user_id, e.rn, e.event_id, e.code,
@@ -279,10 +435,10 @@ ORACLE_SQL: dict[str, str] = {
     "task_extend": "SELECT 'click' AS task, 3::BIGINT AS task_index UNION ALL SELECT 'other', 7 UNION ALL SELECT event_type, 7 + row_number() OVER (ORDER BY min(event_id)) FROM events WHERE event_type <> 'click' GROUP BY event_type",
     "episode_tasks": "SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS tasks FROM conversations GROUP BY conv_id",
     "vector_concat": "WITH v AS (SELECT vec_id, list_concat(embedding[33:64], embedding[1:32]) AS e FROM embeddings) SELECT vec_id, unnest(range(64))::INTEGER AS pos, round(unnest(e)::DOUBLE, 6) AS x FROM v",
-    "history_slice": "SELECT vec_id, 16 AS width, round(list_sum(embedding[49:64]::DOUBLE[]), 6) AS last_sum, round(list_sum(embedding[1:16]::DOUBLE[]), 6) AS first_sum, round(embedding[49]::DOUBLE, 6) AS head FROM embeddings",
+    "history_slice": "SELECT vec_id, 16 AS width, round(list_sum(embedding[49:64]::DOUBLE[]), 6) AS last_sum, round(list_sum(embedding[1:16]::DOUBLE[]), 6) AS first_sum, array_to_string(list_transform(embedding[49:64], lambda x: printf('%.6f', x::DOUBLE)), ',') AS last FROM embeddings",
     "vector_stats": "WITH x AS (SELECT label, unnest(range(64))::INTEGER AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings) SELECT label, pos, round(min(v), 6) AS min, round(max(v), 6) AS max, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, count(v) AS count FROM x GROUP BY ALL",
     "scalar_stats": "SELECT event_type, round(min(value), 6) AS min, round(max(value), 6) AS max, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, count(value) AS count FROM events GROUP BY event_type",
-    "image_stats_partial": "WITH x AS (SELECT label, unnest(range(64))::INTEGER % 3 AS channel, unnest(embedding)::DOUBLE / 255 AS v FROM embeddings) SELECT label, channel::INTEGER AS channel, round(min(v), 9) AS min, round(max(v), 9) AS max, round(avg(v), 9) AS mean, round(sqrt(greatest(0, sum(v * v) / count(v) - avg(v) * avg(v))), 9) AS std, count(v) AS count FROM x GROUP BY ALL",
+    "image_stats_partial": "WITH x AS (SELECT label, vec_id, unnest(range(64))::INTEGER % 3 AS channel, unnest(embedding)::DOUBLE / 255 AS v FROM embeddings) SELECT label, channel::INTEGER AS channel, round(min(v), 9) AS min, round(max(v), 9) AS max, round(avg(v), 9) AS mean, round(sqrt(greatest(0, sum(v * v) / count(v) - avg(v) * avg(v))), 9) AS std, count(DISTINCT vec_id) AS count FROM x GROUP BY ALL",
     "vector_l2": "SELECT a.vec_id, round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS l2 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1",
     "suffix_pivot": "SELECT lower(n_name) AS base, n_nationkey::DOUBLE AS joint_position, n_regionkey::DOUBLE AS joint_effort, (n_nationkey + 100)::DOUBLE AS cmd_position, (n_regionkey + 10)::DOUBLE AS cmd_effort, (n_nationkey + 200)::DOUBLE AS gain_position, (n_regionkey + 20)::DOUBLE AS gain_effort FROM nation",
     "name_match": "SELECT n_name, CASE WHEN n_nationkey < 15 THEN 'left' ELSE 'right' END AS side FROM nation WHERE n_nationkey <= 5 OR n_nationkey >= 15",
@@ -294,14 +450,43 @@ ORACLE_SQL: dict[str, str] = {
     "recovery_edge": "WITH g AS (SELECT event_id, user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events) SELECT event_id, user_id FROM g WHERE before = 'error' AND event_type <> 'error'",
     "windowed_rate": "WITH g AS (SELECT event_type, row_number() OVER w AS n, ts, lag(ts, 100) OVER w AS t0 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)) SELECT event_type, n, round(100 / ((epoch_us(ts) - epoch_us(t0)) / 1e6::DOUBLE), 9) AS rate FROM g WHERE n % 100 = 0 AND t0 IS NOT NULL",
     "latest_per_key": "SELECT user_id, arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value FROM events GROUP BY user_id",
-    "status_level": "SELECT user_id, max(CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 1 ELSE 0 END)::INTEGER AS level, count(*) AS n FROM events GROUP BY user_id",
+    "status_level": "SELECT user_id, max(greatest(CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 1 ELSE 0 END, event_id % 2))::INTEGER AS level, count(*) AS n FROM events GROUP BY user_id",
+    "status_report": f"WITH e AS (SELECT *, {_LEVEL} AS level FROM events) SELECT user_id, max(level)::INTEGER AS level, arg_max(event_type, level * 1000 + ascii(event_type) * 2 + CASE event_type WHEN 'click' THEN 0 ELSE 1 END) AS message, count(*) AS n, '0.2' AS limit, count(*) FILTER (WHERE level = 1)::VARCHAR AS level_1 FROM e GROUP BY user_id",
+    "merge_many": f"""WITH e AS (SELECT user_id, ts, value, event_type FROM events WHERE event_id % 7 <> 0), c AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'click'),
+        a AS (SELECT c.*, v.value AS view, v.ts AS vt FROM c ASOF LEFT JOIN (SELECT * FROM e WHERE event_type = 'view') v ON c.user_id = v.user_id AND c.ts >= v.ts),
+        b AS (SELECT a.*, s.value AS signup, s.ts AS st FROM a ASOF LEFT JOIN (SELECT * FROM e WHERE event_type = 'signup') s ON a.user_id = s.user_id AND a.ts >= s.ts),
+        d AS (SELECT b.*, r.value AS er, r.ts AS rt FROM b ASOF LEFT JOIN (SELECT * FROM e WHERE event_type = 'error') r ON b.user_id = r.user_id AND b.ts >= r.ts)
+        SELECT event_id, view, signup, coalesce(er, -1::DOUBLE) AS error, concat_ws(',', CASE WHEN rt IS NULL THEN 'error' END, CASE WHEN st IS NULL OR ts - st > INTERVAL 48 HOUR THEN 'signup' END, CASE WHEN vt IS NULL OR ts - vt > INTERVAL 48 HOUR THEN 'view' END) AS missing FROM d""",
+    "joint_state": """SELECT n_regionkey, string_agg(lower(n_name), ',' ORDER BY n_nationkey) AS names, string_agg(n_nationkey::VARCHAR, ',' ORDER BY n_nationkey) AS joint_position, string_agg(n_regionkey::VARCHAR, ',' ORDER BY n_nationkey) AS joint_effort,
+        string_agg((n_nationkey + 100)::VARCHAR, ',' ORDER BY n_nationkey) AS cmd_position, string_agg((n_regionkey + 10)::VARCHAR, ',' ORDER BY n_nationkey) AS cmd_effort, string_agg((n_nationkey + 200)::VARCHAR, ',' ORDER BY n_nationkey) AS gain_position,
+        string_agg((n_regionkey + 20)::VARCHAR, ',' ORDER BY n_nationkey) AS gain_effort, string_agg(lower(n_name) || '_foot', ',' ORDER BY n_nationkey) AS rest_names, string_agg((n_regionkey + 30)::VARCHAR, ',' ORDER BY n_nationkey) AS rest_effort FROM nation GROUP BY n_regionkey""",
+    "packet_decode": "SELECT event_id, CASE WHEN event_type = 'click' THEN 'ego' WHEN event_type = 'error' THEN 'head' ELSE 'ego,head' END AS names, CASE WHEN event_type <> 'click' THEN reverse(event_type) END AS head FROM events",
+    "bundle_complete": "SELECT event_id, CASE WHEN event_type = 'error' THEN 'ego' ELSE '' END AS missing, CASE WHEN event_type <> 'error' THEN CASE WHEN (event_id + 1) * 1e12::DOUBLE > 1e12 THEN (event_id + 1) * 1e12::DOUBLE / 1e9::DOUBLE ELSE (event_id + 1) * 1e12::DOUBLE END END AS ego_time, CASE WHEN event_type <> 'error' THEN event_type END AS head FROM events",
+    "tick_gate": """WITH k AS (SELECT DISTINCT user_id FROM events), t AS (SELECT user_id, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 12 HOUR)) AS ts FROM k),
+        s AS (SELECT t.*, v.ts AS st FROM t ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON t.user_id = v.user_id AND t.ts >= v.ts),
+        b AS (SELECT s.*, CASE WHEN e.event_type <> 'error' THEN e.ts END AS bt FROM s ASOF LEFT JOIN events e ON s.user_id = e.user_id AND s.ts >= e.ts),
+        g AS (SELECT user_id, ts, CASE WHEN user_id % 10 = 3 THEN 'not recording' WHEN st IS NULL THEN 'no sample' WHEN bt IS NULL THEN 'no bundle' WHEN ts - st > INTERVAL 48 HOUR THEN 'stale sample' WHEN ts - bt > INTERVAL 24 HOUR THEN 'stale bundle' END AS skip FROM b)
+        SELECT user_id, ts, skip, CASE WHEN skip IS NULL THEN row_number() OVER (PARTITION BY user_id, skip IS NULL ORDER BY ts) - 1 END AS frame_index FROM g""",
+    "first_values": "SELECT user_id, arg_min(event_type, event_id) AS event_type, min(event_id) FILTER (WHERE event_type = 'purchase') AS late FROM events GROUP BY user_id",
+    "frame_number": "SELECT l_orderkey, l_linenumber AS index, (CASE WHEN l_linenumber > 2 THEN l_linenumber * 10 ELSE l_linenumber END)::BIGINT AS n FROM lineitem",
+    "task_values": "WITH f AS (SELECT role, CASE role WHEN 'system' THEN 4 ELSE 4 + row_number() OVER (PARTITION BY role = 'system' ORDER BY min(conv_id * 1000000 + turn)) END AS task_index FROM conversations GROUP BY role) SELECT conv_id, turn, task_index FROM conversations c JOIN f ON c.role = f.role",
+    "nested_record": "SELECT o_orderkey, o_custkey::FLOAT::DOUBLE AS y, 2 AS width, round(o_totalprice::FLOAT::DOUBLE, 0) AS joint FROM orders",
+    "list_lengths": "SELECT l_orderkey, l_linenumber AS line, l_quantity AS quantity FROM lineitem",
+    "required_streams": "SELECT user_id, array_to_string(list_sort(list_filter(['view', 'click', 'signup', 'error', 'purchase'], lambda x: NOT list_contains(list(DISTINCT event_type), x))), ',') AS missing FROM events WHERE ts < TIMESTAMP '2024-01-08' GROUP BY user_id",
+    "episode_forms": "WITH r AS (SELECT conv_id AS episode_index, '{\"tasks\":[' || string_agg(DISTINCT '\"' || role || '\"', ',' ORDER BY '\"' || role || '\"') || '],\"length\":' || count(*) || '}' AS record FROM conversations GROUP BY conv_id) SELECT episode_index, form, width::INTEGER AS width, record FROM r, (VALUES ('collected', 11), ('state_action', 6), ('compact', 3)) f(form, width)",
+    "episode_stats": """WITH v AS (SELECT label AS episode, 'embedding' AS name, unnest(range(64)) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings UNION ALL SELECT label, 'vec_id', 0, vec_id FROM embeddings),
+        p AS (SELECT episode, name, pos, min(x) AS lo, max(x) AS hi, avg(x) AS mean, stddev_pop(x) AS sd, count(x) AS n FROM v GROUP BY ALL),
+        i AS (SELECT label AS episode, 'image' AS name, pos % 3 AS pos, min(x) AS lo, max(x) AS hi, avg(x) AS mean, sqrt(greatest(0, sum(x * x) / count(x) - avg(x) * avg(x))) AS sd, count(DISTINCT vec_id) AS n FROM (SELECT label, vec_id, unnest(range(64)) AS pos, unnest(embedding)::DOUBLE / 255 AS x FROM embeddings) GROUP BY ALL)
+        SELECT episode, name, count(*)::INTEGER AS width, round(sum(lo), 6) AS min, round(sum(hi), 6) AS max, round(sum(mean), 6) AS mean, round(sum(sd), 6) AS std, max(n) AS count FROM (SELECT * FROM p UNION ALL SELECT * FROM i) GROUP BY episode, name""",
+    "running_total": f"WITH n AS ({_EP}) SELECT conv_id AS episode_index, length, to_index FROM n",
+    "text_functions": "SELECT n_nationkey, n_name AS left_part, 'a:b' AS right_part, '/x/' || n_name AS namespace, n_name AS decoded, n_name AS stream, n_name AS tail, printf('d/%03d/%s.p', n_regionkey, n_name) AS path, 500::DOUBLE AS latency, 'dataset_20240301_040506' AS dataset, n_nationkey AS found, -1 AS other, '1,1,2' AS shape, n_nationkey::DOUBLE AS first FROM nation",
     "duplicate_names": "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1",
-    "schema_diff": "SELECT * FROM (VALUES ('conv_id', 'missing'), ('role', 'missing'), ('text', 'missing'), ('turn', 'missing'), ('event_id', 'extra'), ('event_type', 'extra'), ('props', 'extra'), ('ts', 'extra'), ('user_id', 'extra')) t(name, side)",
+    "schema_diff": "WITH k AS (SELECT event_type, list(DISTINCT name) AS have FROM (SELECT event_type, unnest(json_keys(props)) AS name FROM events) GROUP BY event_type) SELECT event_type, unnest(list_filter(['a', 'z'], lambda x: NOT list_contains(have, x))) AS name, 'missing' AS side FROM k UNION ALL SELECT event_type, unnest(list_filter(have, lambda x: x NOT IN ('a', 'z'))), 'extra' FROM k",
     "json_meta": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events",
     "path_layout": "SELECT DISTINCT conv_id, printf('data/train-%06d.parquet', conv_id) AS flat, printf('data/chunk-%03d/episode_%06d.parquet', conv_id // 40, conv_id) AS chunked FROM conversations",
     "episode_meta": f"WITH n AS ({_EP}), t AS (SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS tasks FROM conversations GROUP BY conv_id) SELECT n.conv_id AS episode_index, tasks, length, 50::DOUBLE AS fps, printf('data/train-%06d.parquet', n.conv_id) AS data_path, to_index - length AS from_index, to_index FROM n JOIN t ON n.conv_id = t.conv_id",
     "dataset_info": "SELECT count(DISTINCT conv_id) AS total_episodes, count(*) AS total_frames, count(DISTINCT role) AS total_tasks, count(DISTINCT conv_id) * 2 AS total_videos, greatest(1, ceil(count(DISTINCT conv_id) / 40))::BIGINT AS total_chunks, max(conv_id) + 1 AS next_episode, '0:' || count(DISTINCT conv_id) AS train_split FROM conversations",
     "name_functions": "SELECT n_nationkey, n_name AS stripped, false AS blank_ok, n_name AS base, n_name || '|x' AS parts, CASE WHEN (n_nationkey + 1) * 1e11::DOUBLE > 1e12 THEN (n_nationkey + 1) * 1e11::DOUBLE / 1e9::DOUBLE ELSE (n_nationkey + 1) * 1e11::DOUBLE END AS seconds FROM nation",
-    "layout_state_action": f"WITH f AS ({_FR}) SELECT episode_index::BIGINT AS episode_index, frame_index, index, task_index::BIGINT AS task_index, round((frame_index / 50::DOUBLE)::FLOAT::DOUBLE, 4) AS ts, done, 48 AS state_width, round(e[41]::DOUBLE, 6) AS state_0, round(e[64]::DOUBLE, 6) AS action_15 FROM f",
-    "layout_compact": f"WITH f AS ({_FR}) SELECT episode_index::BIGINT AS episode_index, frame_index, index, round(e[25]::DOUBLE, 6) AS state_0, round(e[56]::DOUBLE, 6) AS actions_7 FROM f",
+    "layout_state_action": f"WITH f AS ({_FR}) SELECT episode_index::BIGINT AS episode_index, frame_index, index, task_index::BIGINT AS task_index, round((frame_index / 50::DOUBLE)::FLOAT::DOUBLE, 4) AS ts, done, 0::DOUBLE AS reward, {_LS('list_concat(e[41:48], e[1:40])')} AS state, {_LS('e[49:64]')} AS action FROM f",
+    "layout_compact": f"WITH f AS ({_FR}) SELECT episode_index::BIGINT AS episode_index, frame_index, index, {_LS('e[25:32]')} AS state, {_LS('e[49:56]')} AS actions FROM f",
 }

@@ -15,6 +15,24 @@ def read_episodes(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data").select("*", F.col("_metadata.row_index").alias("row_index"))
 
 
+def read_listed(spark: SparkSession, root: str, episodes: DataFrame) -> DataFrame:
+    """Rows of the files that episode records name in ``data_path`` (by default data/train-NNNNNN.parquet), with ``row_index``.
+
+    Records without tasks or index are left out. A path that leads out of ``root`` or to no file is an error, as is a
+    file of another episode than its record's.
+    """
+    default = F.format_string("data/train-%06d.parquet", "episode_index")
+    path = F.coalesce(F.col("data_path"), default) if "data_path" in episodes.columns else default
+    listed = episodes.where("episode_index IS NOT NULL").select("episode_index", path.alias("path")).orderBy("episode_index").collect()  # one for each file
+    if not listed:
+        raise ValueError("the dataset has no episodes")
+    whole = {r["episode_index"]: inside(root, r["path"]) for r in listed}
+    absent = [p for p in whole.values() if not Path(p).exists()]
+    if absent:
+        raise FileNotFoundError(f"no such episode files: {absent[:10]}")
+    return spark.read.parquet(*whole.values()).select("*", F.col("_metadata.row_index").alias("row_index"))
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A line a row; blank lines go."""
     return spark.read.schema(schema).json(path)

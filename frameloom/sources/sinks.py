@@ -61,33 +61,44 @@ def replace_files(files: Mapping[str, str]) -> None:
             os.remove(old)
 
 
+def pretty(document: dict) -> str:
+    return json.dumps(document, indent=2, sort_keys=True, ensure_ascii=False) + "\n"
+
+
 def write_documents(documents: Mapping[str, dict]) -> None:
-    replace_files({p: json.dumps(d, indent=2, sort_keys=True, ensure_ascii=False) + "\n" for p, d in documents.items()})
+    replace_files({p: pretty(d) for p, d in documents.items()})
 
 
-def fixed_schema(schema: pa.Schema, widths: Mapping[str, int], features: Mapping[str, object] | None = None) -> pa.Schema:
-    """``schema`` with lists of fixed size, and a description of the features in its metadata."""
+def fixed_schema(schema: pa.Schema, widths: Mapping[str, int], metadata: Mapping[str, bytes] | None = None) -> pa.Schema:
+    """``schema`` with lists of fixed size, and ``metadata`` of its files."""
     fields = [pa.field(f.name, pa.list_(f.type.value_type, widths[f.name])) if f.name in widths else f for f in schema]
-    return pa.schema(fields, {"features": json.dumps(features, sort_keys=True)} if features else None)
+    return pa.schema(fields, dict(metadata) if metadata else None)
 
 
-def write_fixed_lists(rows: DataFrame, folder: str, episode: str, order: str = "frame_index", features: Mapping[str, object] | None = None, widths: Mapping[str, int] | None = None) -> int:
-    """One Parquet file for each episode, written by the tasks; lists in ``widths`` keep their fixed size. Returns the number of files."""
-    widths = dict(widths or {})
+def write_fixed_lists(
+    rows: DataFrame, folder: str, episode: str, order: str = "frame_index", widths: Mapping[str, int] | None = None, metadata: Mapping[str, bytes] | None = None, name: str = "", chunk: int = 1000
+) -> int:
+    """One Parquet file for each episode, written by the tasks; lists in ``widths`` keep their fixed size. Returns the number of files.
 
+    Files lie in folders of ``chunk`` episodes (0: in one), or have the ``name`` that is given. Writing none is an error.
+    """
+    widths = dict(widths or {})
     names = rows.columns
     plain = rows.toDF(*(f"c{i}" for i in range(len(names))))  # names with dots don't reach Python workers
 
     def write(group: pa.Table) -> pa.Table:
         group = group.rename_columns(names)
         number = group.column(episode)[0].as_py()
-        group = group.sort_by(order)
-        table = group.cast(fixed_schema(group.schema, widths, features))
-        path = f"{folder}/chunk-{number // 1000:03d}/episode_{number:06d}.parquet"
+        table = group.sort_by(order).cast(fixed_schema(group.schema, widths))
+        table = table.cast(fixed_schema(table.schema, {}, metadata))
+        path = f"{folder}/{name.format(episode=number) if name else f'chunk-{number // chunk if chunk else 0:03d}/episode_{number:06d}.parquet'}"
         os.makedirs(os.path.dirname(path), exist_ok=True)
         part = f"{path}.{uuid.uuid4().hex[:8]}"
         pq.write_table(table, part, compression="snappy")
         os.replace(part, path)  # a task that runs again writes the same file
         return pa.table({"path": [path]})
 
-    return plain.groupBy(plain.columns[names.index(episode)]).applyInArrow(write, "path string").count()
+    n = plain.groupBy(plain.columns[names.index(episode)]).applyInArrow(write, "path string").count()
+    if not n:
+        raise ValueError("there are no rows to write")
+    return n

@@ -33,13 +33,13 @@ def asof_latest(events: DataFrame, key: str, ts: str, order: str, is_trigger: st
     kind = dict(events.dtypes)
 
     def fold(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, at = state.get if state.exists else (None, None)
+        last, at = state.get if state.exists else (None, None)  # a null value displaces nothing
         rows = []
         for t, o, trigger, v in pd.concat(list(parts)).sort_values([ts, order])[[ts, order, is_trigger, value]].itertuples(index=False):
             if trigger:
                 fresh = at is not None and (max_age <= 0 or (t - pd.Timestamp(at)).total_seconds() <= max_age)
                 rows.append((k[0], t, o, last if fresh else None))
-            else:
+            elif not pd.isna(v):
                 last, at = float(v), str(t)
         if at is not None:
             state.update((last, at))

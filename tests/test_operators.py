@@ -1,6 +1,5 @@
 """The engine's operators: all SQL on a small scale, and cases that the tables don't hold."""
 
-import json
 import math
 import os
 
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from frameloom import queries as Q
 from frameloom.functions import vectors as V
 from frameloom.operators import align, episodes, stats, tasks
-from frameloom.plans import convert, layouts
+from frameloom.plans import layouts
 from frameloom.sources import episodes as src
 from frameloom.sources import sinks
 
@@ -117,31 +116,23 @@ def test_files_are_replaced_together(tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
 
 
-def test_conversion_end_to_end(spark, tmp_path):
-    root = tmp_path / "in"
-    names = [(f"observation.state.{n}", w) for n, w in V.STATE_FIELDS.items()]
-    for e, n in ((0, 2), (1, 3)):
-        rows = spark.range(n, numPartitions=1).select(
-            *(F.array_repeat(F.lit(float(k)), w).alias(c) for k, (c, w) in enumerate(names)),
-            F.array_repeat(F.lit(6.0), 45).alias("action.aligned_target_pos"),
-            F.lit(f"task {e}").alias("annotation.human.action.task_description"),
-            F.col("id").alias("frame_index"),
-            F.lit(e).cast("long").alias("episode_index"),
-            F.lit(0).cast("long").alias("task_index"),
-        )
-        rows.write.parquet(str(root / f"data/train-{e:06d}.parquet"))
-    (root / "meta").mkdir()
-    (root / "meta/info.json").write_text(json.dumps({"fps": 50}))
-    (root / "meta/tasks.jsonl").write_text('{"task_index": 4, "task": "task 1"}\n\n')
-    convert.convert_state_action(spark, str(root), str(tmp_path / "out"))
-    got = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out/data")).orderBy("index").collect()
-    assert [r["index"] for r in got] == [0, 1, 2, 3, 4] and [r["next.done"] for r in got] == [False, True, False, False, True]
-    assert [r["task_index"] for r in got] == [5, 5, 4, 4, 4] and len(got[0]["observation.state"]) == 1110 and got[0]["action"] == [6.0] * 45
-    info = json.loads((tmp_path / "out/meta/info.json").read_text())
-    assert (info["total_episodes"], info["total_frames"], info["train_split"]) == (2, 5, "0:2")
-    with pytest.raises(FileExistsError):
-        convert.convert_state_action(spark, str(root), str(tmp_path / "out"))
-    assert layouts.modality({"a": 2, "b": 3}, {"c": 1}, [])["state"]["b"] == {"start": 2, "end": 5}
+def test_a_failure_while_files_are_swapped_puts_the_old_ones_back(tmp_path, monkeypatch):
+    names = [tmp_path / n for n in "abc"]
+    for p in names[:2]:
+        p.write_text(f"old {p.name}")
+    real, calls = os.rename, []
+
+    def failing(x, y):
+        calls.append(y)
+        if str(y).endswith("/c"):
+            raise OSError("disk full")
+        real(x, y)
+
+    monkeypatch.setattr(sinks.os, "rename", failing)
+    with pytest.raises(OSError):
+        sinks.replace_files({str(p): "new" for p in names})
+    monkeypatch.undo()
+    assert sorted((p.name, p.read_text()) for p in tmp_path.iterdir()) == [("a", "old a"), ("b", "old b")]
 
 
 def test_stream_agrees_with_batch(spark, tmp_path):
@@ -153,3 +144,98 @@ def test_stream_agrees_with_batch(spark, tmp_path):
     got = latest.run_to_end(latest.command_machine(stream, "user_id", "event_id", "code"), "machine", str(tmp_path / "cp"))
     want = episodes.command_machine(rows, "user_id", "event_id", "code")
     assert math.isclose(got.count(), want.count()) and got.exceptAll(want).count() == 0
+
+
+def test_as_of_stream_agrees_with_batch_and_keeps_values_over_nulls(spark, tmp_path):
+    from frameloom.streaming import latest
+
+    rows = [(1, f"2024-01-01 00:00:0{t}", t, trigger, v) for t, (trigger, v) in enumerate([(True, None), (False, 2.0), (False, None), (True, None), (False, 5.0), (True, None)], 1)]
+    df = spark.createDataFrame(rows, "k int, t string, o int, trigger boolean, v double").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    for k in range(0, 6, 2):
+        df.where((F.col("o") > k) & (F.col("o") <= k + 2)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = latest.run_to_end(latest.asof_latest(stream, "k", "t", "o", "trigger", "v", 2.0), "asof", str(tmp_path / "cp"))
+    assert {r["o"]: r["v"] for r in got.collect()} == {1: None, 4: 2.0, 6: 5.0}
+    batch = align.merge_latest(df.where("trigger").select("k", "t", "o"), {"v": df.where("NOT trigger").select("k", "t", F.col("v").alias("value"))}, ["k"], "t", 2.0, only_complete=False)
+    assert {r["o"]: r["v"] for r in batch.collect()} == {1: None, 4: 2.0, 6: 5.0}
+
+
+def test_feeds_keep_the_latest_and_report(spark, tmp_path):
+    from frameloom.streaming import feeds
+
+    for k in range(3):
+        rows = [(f"r{k % 2}", "gyro", f"2024-01-01 00:00:0{k}", [float(k)]), ("r9", "gyro", f"2024-01-01 00:00:0{2 - k}", [10.0 + k])]
+        df = spark.createDataFrame(rows, "key string, name string, t string, value array<float>").select("key", "name", F.col("t").cast("timestamp_ntz").alias("ts"), "value")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = feeds.telemetry(spark, str(tmp_path / "in"), files_per_trigger=1)
+    feeds.keep_latest(stream, ["key", "name"], "ts", ["value"], str(tmp_path / "last"), str(tmp_path / "cp1")).awaitTermination()
+    last = max((tmp_path / "last").iterdir(), key=lambda p: int(p.name.split("=")[1]))
+    assert {r["key"]: r["value"] for r in spark.read.parquet(str(last)).collect()} == {"r0": [2.0], "r1": [1.0], "r9": [10.0]}
+    feeds.publish(stream, str(tmp_path / "out"), str(tmp_path / "cp2")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+    levels = stream.withColumns({"level": F.when(F.col("key") == "r9", 2).otherwise(0), "message": F.col("name")})
+    feeds.report_status(levels, ["key"], "level", "message", str(tmp_path / "status"), str(tmp_path / "cp3"), {"limit": "0.2"}).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "status")).where("key = 'r9'").collect()
+    assert sum(r["n"] for r in found) == 3 and all(r["level"] == 2 and r["values"]["limit"] == "0.2" for r in found)
+
+
+def test_prompt_of_white_space_is_blank_and_a_discarded_session_leaves_nothing(spark):
+    rows = [(1, k, c, p) for k, (c, p) in enumerate([(1, "\t"), (1, "go"), (2, ""), (10, ""), (1, "\u3000"), (1, " x ")])]
+    got = episodes.command_machine(spark.createDataFrame(rows, "k int, o int, c int, p string"), "k", "o", "c", "p").orderBy("o").collect()
+    assert [r["mode"] for r in got] == ["IDLE", "RECORDING", "NEED_TO_SAVE", "IDLE", "IDLE", "RECORDING"] and [r["level"] for r in got] == ["WARN", "OK", "OK", "OK", "WARN", "OK"]
+    frames = spark.createDataFrame([(1, k, c) for k, c in enumerate([1, None, None, 3, 1, None, 2, 1, None])], "k int, o int, c int")
+    assert [(r["o"], r["session"]) for r in episodes.session_frames(frames, "k", "o", "c").orderBy("o").collect()] == [(5, 2), (8, 3)]
+
+
+def test_folds_go_on_from_batch_to_batch(spark):
+    from frameloom.operators.folds import fold_sorted
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = spark.range(1000).select((F.col("id") % 3).alias("k"), "id").union(spark.range(5).select(F.lit(None).cast("long"), "id"))
+        got = fold_sorted(rows, ["k"], ["id"], lambda s, r: (s + r[1], (r[0], s + r[1])), "k long, total long", 0)
+        want = {k: sum(range(k, 1000, 3)) for k in range(3)} | {None: 10}
+        assert {r["k"]: r["m"] for r in got.groupBy("k").agg(F.max("total").alias("m")).collect()} == want
+        assert fold_sorted(rows.limit(0), ["k"], ["id"], lambda s, r: (s, r), "k long, id long").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_merge_reads_all_streams_in_one_window(spark):
+    t = spark.range(3).select(F.col("id").alias("k"), F.expr("TIMESTAMP_NTZ'2024-01-01'").alias("ts"))
+    plan = align.merge_latest(t, {n: t.withColumn("value", F.lit(1.0)) for n in "abcdef"}, ["k"], "ts", 1.0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("+- Window") + plan.count("- Window") >= 1
+
+
+def test_wrong_joint_names_and_lists_are_errors(spark):
+    def run(names):
+        rows = spark.createDataFrame([(0, k, n, 1.0) for k, n in enumerate(names)], "k int, o int, name string, effort double")
+        return tasks.joint_state(rows, "k", "o", "name", ["effort"], {"_joint": "joint", "_cmd": "cmd"}, "effort").collect()
+
+    got = run(["b_joint", "a_joint", "a_cmd", "b_cmd", "left"])[0]
+    assert got["names"] == ["b", "a"] and got["rest_names"] == ["left"] and got["rest_effort"] == [1.0]
+    for bad in (["a_joint"], ["a_joint", "a_joint", "a_cmd"], ["_joint", "_cmd"], ["a_joint", "a_cmd", "b_cmd"]):
+        with pytest.raises(Exception, match="names don't match or repeat"):
+            run(bad)
+    with pytest.raises(Exception, match="differ in length"):
+        spark.sql("SELECT array(1) AS x, array(1, 2) AS y").select(tasks.parallel_lists(["x", "y"])).collect()
+    with pytest.raises(ValueError):
+        tasks.distinct_names(["a", " a"])
+
+
+def test_codec_failures_drop_an_image_only(spark):
+    from frameloom.functions import images
+    from frameloom.operators import bundles
+
+    def decode(blob, unchanged):
+        if blob == b"bad":
+            raise ValueError
+        return blob.upper() if not unchanged else blob
+
+    df = spark.sql("SELECT 1 AS `a.b`, map('head', CAST('x' AS BINARY), 'ego', CAST('bad' AS BINARY), 'head_depth', CAST('y' AS BINARY)) AS images UNION ALL SELECT 2, NULL")
+    got = {r["a.b"]: r["images"] for r in bundles.decode_packets(df, decode).collect()}
+    assert got == {1: {"head": bytearray(b"X"), "head_depth": bytearray(b"y")}, 2: None}
+    assert images.to_bytes([[[0.5, 2.0, -1.0]]]).tolist() == [[[127, 255, 0]]] and images.to_bytes([[[300, -5, 7]]]).tolist() == [[[255, 0, 7]]]
+    with pytest.raises(ValueError):
+        images.rgb_shape([[1, 2]])
+    assert images.swap_channels(images.to_bytes([[[1, 2, 3]]])).tolist() == [[[3, 2, 1]]]
