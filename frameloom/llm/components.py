@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from frameloom.llm.common import cut
+from frameloom.llm.common import cut, lean
 
 
 def find(parent: dict[int, int], x: int) -> int:
@@ -29,6 +29,7 @@ def union(parent: dict[int, int], a: int, b: int) -> None:
         parent.setdefault(low, low)
 
 
+@lean
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parent: dict[int, int] = {}
     for batch in batches:

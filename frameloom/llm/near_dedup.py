@@ -197,7 +197,7 @@ def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, block:
     left = signature.select(F.col("c").alias("a"), F.col("sig").alias("sa"))
     right = signature.select(F.col("c").alias("b"), F.col("sig").alias("sb"))
     led = members.select(F.col("low").alias("a"), F.col("c").alias("b")).where("a <> b").unionByName(members.select(F.col("c").alias("a"), F.col("high").alias("b")).where("a <> b")).distinct()
-    good = led.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_alike(threshold), "a long, b long")
+    good = cut(led.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_alike(threshold), "a long, b long"))
     linked = cut(connected_components(good))
 
     placed = cut(members.select("bh", "c").join(linked.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c")))
@@ -206,7 +206,7 @@ def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, block:
     own = F.pmod(F.xxhash64("c"), F.col("blocks"))
     met = mixed.select("c", "root", "bh", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     units = met.select("c", "root", F.xxhash64("bh", F.least("own", "other"), F.greatest("own", "other")).alias("unit")).join(signature, "c")
-    joined = units.select("unit", "root", "sig").repartition("unit").sortWithinPartitions("unit").mapInArrow(_meet(threshold), "a long, b long")
+    joined = cut(units.select("unit", "root", "sig").repartition("unit").sortWithinPartitions("unit").mapInArrow(_meet(threshold), "a long, b long"))
     found = connected_components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joined))
 
     rows = signed.groupBy("nk").agg(F.first("doc_id").alias("doc_id"), F.first("c").alias("c"), F.count("*").alias("copies"))

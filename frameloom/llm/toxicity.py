@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import cut, every, fresh, lean, named, require, row_key
+from frameloom.llm.common import cut, every, fresh, lean, mapped_rows, require, row_key
 
 #: Labelled documents from which seeds and the threshold are fitted, at most (those of least hash).
 MAX_LABELS = 20_000
@@ -481,8 +481,12 @@ def induce(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, chu
     linked = graph.where("size(near) > 0")
     near = linked.select("w", "n", "near")
 
+    tasks = max(1, docs.sparkSession.sparkContext.defaultParallelism)
+
     def added(f) -> tuple[np.ndarray, np.ndarray]:
-        got = near.mapInArrow(f, "k binary, r binary").coalesce(1).mapInArrow(_sum_gram, "k binary, r binary").first()
+        """Sums by tasks, by groups of tasks, and of all: as many parts as tasks run at a time, whatever the size of the graph."""
+        parts = near.coalesce(tasks).mapInArrow(f, "k binary, r binary").repartition(max(1, round(tasks**0.5)))
+        got = parts.mapInArrow(_sum_gram, "k binary, r binary").repartition(1).mapInArrow(_sum_gram, "k binary, r binary").first()
         return (np.frombuffer(got["k"]), np.frombuffer(got["r"])) if got else (np.zeros(0), np.zeros(0))
 
     weighted, times = added(_usual(total, seed_n))
@@ -594,6 +598,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
         (nk,) = fresh(docs, "f_nk")
         return docs.withColumn(nk, row_key()).join(bad.withColumnRenamed("f_nk", nk), nk, "left_anti").select(*every(docs))
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.terms, lexicon.weights, lexicon.threshold))
-    (low,) = fresh(docs, "f_small")
-    small = docs.select("*", F.lower("text").alias(low))
-    return small.mapInArrow(_keep_clean(shared), docs.schema)
+    return mapped_rows(docs, _keep_clean(shared), F.lower("text"))
