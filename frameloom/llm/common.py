@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import functools
 import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -42,13 +41,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Like ``cut``, but as Parquet, which is smaller for wide rows."""
-    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def join_counted(rows: DataFrame, keyed: DataFrame, key: str, n: str = "n", shares: int = 1024) -> DataFrame:
     """``rows`` joined with ``keyed`` (one row a key, and the number of rows that have it): frequent keys don't gather in a task.
 
@@ -111,6 +103,16 @@ def every(df: DataFrame) -> list[Column]:
     return [named(c) for c in df.columns]
 
 
+def mapped_rows(df: DataFrame, run: Callable[[Batches], Batches], *extra: Column) -> DataFrame:
+    """``df`` through a function of its batches that puts out rows of ``df``; it also sees columns ``extra`` after the others.
+
+    Columns have plain names on the way, as names with dots don't reach Python workers.
+    """
+    plain = df.select(*(c.alias(f"c{i}") for i, c in enumerate([*every(df), *extra])))
+    kept = plain.select(*(f"c{i}" for i in range(len(df.columns))))
+    return plain.mapInArrow(run, kept.schema).toDF(*df.columns)
+
+
 def row_hash(df: DataFrame) -> Column:
     """A hash of all columns that can be hashed: an order of rows that agree in what else counts."""
     return F.xxhash64(*(named(c) for c, t in df.dtypes if "map<" not in t and "variant" not in t))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import lean, require
+from frameloom.llm.common import lean, mapped_rows, require
 
 WINDOW = 13
 MIN_WORDS = 8
@@ -277,7 +277,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     require(docs, "text")
     out = docs
     for s in _shares(docs, benchmark, window, min_words, limit):
-        out = out.mapInArrow(_clean(s, docs.columns.index("text")), out.schema)
+        out = mapped_rows(out, _clean(s, docs.columns.index("text")))
     return out
 
 

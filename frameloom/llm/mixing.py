@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from frameloom.llm.common import cut, fresh, require
+from frameloom.llm.common import cut, every, fresh, named, require, row_hash
 
 SEED = 17
 #: Documents that one window of the running token count should hold.
@@ -84,15 +84,14 @@ def training_positions(docs: DataFrame, schedule: Schedule | None = None, budget
     """
     require(docs, "doc_id", "source", "text", *keep)
     kept = list(dict.fromkeys(keep))
-    n_tok, n_epoch, n_pos = fresh(docs.select(*kept), "tokens", "epoch", "position")
+    n_tok, n_epoch, n_pos = fresh(docs.select(*map(named, kept)), "tokens", "epoch", "position")
     src, tok, key, tie, part = "f_source", "f_tokens", "f_key", "f_tie", "f_part"
-    plain = [F.col(f"`{c}`") for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
     base = docs.select(
-        *(F.col(f"`{c}`").alias(f"keep_{i}") for i, c in enumerate(kept)),
+        *(named(c).alias(f"keep_{i}") for i, c in enumerate(kept)),
         F.col("source").cast("string").alias(src),
         token_count(F.col("text")).alias(tok),
         F.md5(F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(str(seed)))).alias(key),
-        F.xxhash64(*plain).alias(tie),
+        row_hash(docs).alias(tie),
     )
     slim = cut(base.groupBy(src, F.substring(key, 1, 4).alias(part)).agg(F.sum(tok).alias("tokens"), F.count("*").alias("n")))
     size = slim.agg(F.sum("n").alias("n")).first()["n"] or 0
@@ -137,7 +136,7 @@ def curriculum(docs: DataFrame, schedule: Schedule | None = None, budget: str |
     """
     placed = training_positions(docs, schedule, budget, seed, docs.columns)
     epoch, position = placed.columns[-2:]
-    return placed.orderBy(position, "source", "doc_id", epoch).select(*docs.columns)
+    return placed.orderBy(position, "source", "doc_id", epoch).select(*every(docs))
 
 
 #: DuckDB: training_positions() of documents with the schedule, budget and seed of production.
