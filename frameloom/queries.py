@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from frameloom.functions import names as N
 from frameloom.functions import vectors as V
 from frameloom.operators import align, bundles, episodes, stats, tasks
-from frameloom.plans import documents, layouts
+from frameloom.plans import convert, documents, layouts, writer
+from frameloom.sources import episodes as src
+from frameloom.sources import sinks, video
 from frameloom.streaming import feeds
 
 HOUR = 3600.0
@@ -316,6 +322,61 @@ def running_total(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder on what all executors share; a temporary one only where the session is of one machine and names none."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        top = tempfile.mkdtemp(prefix="frameloom-")
+    return f"{top.removeprefix('file://')}/dataset-{uuid.uuid4().hex}"
+
+
+def dataset_written(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations as recorded sessions, appended in two commits, reopened between them and read back; every fifth was discarded."""
+    turns = _turns(spark, d).withColumns({"end": F.when(F.col("conv_id") % 5 == 3, 3).otherwise(2), "prompt": F.concat(F.lit(" \t"), (F.col("conv_id") % 7).cast("string"))})
+    frames = turns.select("conv_id", "turn", "end", "prompt", F.array_repeat(F.col("turn").cast("double"), 29).alias("observation.state.joint_position"), F.array_repeat(F.col("conv_id").cast("double"), 45).alias("action.aligned_target_pos"))
+    columns, root = frames.columns[4:], _folder(spark)
+    half = (turns.agg(F.max("conv_id").alias("m")).first()["m"] or 0) // 2
+    for k, part in enumerate((frames.where(F.col("conv_id") <= half), frames.where(F.col("conv_id") > half))):
+        writer.append_sessions(spark, writer.open_dataset(root, columns, 50), part, "conv_id", "turn", "prompt", "end", f"part {k}")
+    records = src.read_jsonl(spark, f"{root}/meta/episodes.jsonl", "episode_index long, data_path string, length long, dataset_from_index long, dataset_to_index long")
+    rows = src.read_listed(spark, root, records).join(records, "episode_index")
+    return rows.select(
+        "episode_index", "frame_index", "index", "row_index", "task_index", F.col("`annotation.human.action.task_description`").alias("task"), F.round("timestamp", 6).alias("timestamp"), "length", "dataset_from_index", "dataset_to_index",
+        F.col("`observation.state.joint_position`")[28].alias("turn"), F.col("`action.aligned_target_pos`")[44].alias("conv_id"),
+    )
+
+
+def dataset_converted(spark: SparkSession, d: str) -> DataFrame:
+    """Embeddings as a stored dataset of ten episodes, converted to the compact form and read back with its records."""
+    e = _table(spark, d, "embeddings")
+    number = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    rows = e.select(
+        F.slice("embedding", 1, 58).alias("observation.state.history"), F.slice("embedding", 36, 29).alias("action.policy_action"), F.concat(F.lit(" task "), (F.col("vec_id") % 3).cast("string")).alias(documents.TASK),
+        number.cast("long").alias("frame_index"), F.col("label").cast("long").alias("episode_index"), F.lit(0).cast("long").alias("task_index"),
+    )
+    root, target = _folder(spark), _folder(spark)
+    sinks.write_fixed_lists(rows, f"{root}/data", "episode_index", name="train-{episode:06d}.parquet")
+    listed = [{"episode_index": r[0]} for r in rows.select("episode_index").distinct().orderBy("episode_index").collect()]
+    sinks.replace_files({f"{root}/meta/info.json": json.dumps({"fps": 50, "features": {}}), f"{root}/meta/tasks.jsonl": '{"task": "task 2", "task_index": 5}\n', f"{root}/meta/episodes.jsonl": documents.jsonl(listed)})
+    convert.convert_compact(spark, root, target, "observation.state.history", "action.policy_action", window=-2)
+    records = src.read_jsonl(spark, f"{target}/meta/episodes.jsonl", "episode_index long, tasks array<string>, length long")
+    stats_of = src.read_jsonl(spark, f"{target}/meta/episodes_stats.jsonl", "episode_index long, stats map<string,struct<mean:array<double>,count:array<long>>>")
+    out = src.read_episodes(spark, target).join(records, "episode_index").join(stats_of, "episode_index")
+    return out.select("episode_index", "frame_index", "index", "task_index", _listed("state").alias("state"), _listed("actions").alias("actions"), F.array_join("tasks", ",").alias("tasks"), "length", F.round(F.col("stats")["actions"]["mean"][28], 6).alias("mean"), F.col("stats")["state"]["count"][0].alias("count"))
+
+
+def video_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Paths of two cameras: from the record of even conversations, from the first row of odd ones."""
+    turns = _turns(spark, d)
+    name = lambda k: F.concat(F.lit(f"v/{k}/"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    rows = turns.select(F.col("conv_id").alias("episode_index"), F.col("turn").alias("frame_index"), *(F.struct(name(k).alias("path"), F.lit(0.0).alias("timestamp")).alias(f"observation.images.{k}") for k in "ab"))
+    given = F.create_map(*(x for k in "ab" for x in (F.lit(f"observation.images.{k}"), F.concat(F.lit(f"given/{k}/"), F.col("conv_id").cast("string")))))
+    records = turns.select("conv_id").distinct().select(F.col("conv_id").alias("episode_index"), F.when(F.col("conv_id") % 2 == 0, given).alias("video_paths"))
+    return video.video_paths(records, rows, ["observation.images.a", "observation.images.b"])
+
+
 def text_functions(spark: SparkSession, d: str) -> DataFrame:
     n = _table(spark, d, "nation")
     pair = N.split_pair(F.concat("n_name", F.lit(" : a:b")))
@@ -392,7 +453,7 @@ QUERIES = {f.__name__: f for f in (
     image_stats_partial, vector_l2, suffix_pivot, name_match, throttle, gap_log, recovery_edge, windowed_rate, latest_per_key, status_level, duplicate_names,
     schema_diff, json_meta, path_layout, episode_meta, dataset_info, name_functions, layout_state_action, layout_compact,
     joint_state, status_report, packet_decode, bundle_complete, tick_gate, first_values, frame_number, task_values, nested_record, list_lengths, required_streams, episode_forms, episode_stats,
-    running_total, text_functions,
+    running_total, text_functions, dataset_written, dataset_converted, video_paths,
 )}
 
 _SIDES = "c AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'click'), v AS (SELECT user_id, ts, value, event_id AS view_id FROM events WHERE event_type = 'view')"
@@ -478,6 +539,15 @@ ORACLE_SQL: dict[str, str] = {
         p AS (SELECT episode, name, pos, min(x) AS lo, max(x) AS hi, avg(x) AS mean, stddev_pop(x) AS sd, count(x) AS n FROM v GROUP BY ALL),
         i AS (SELECT label AS episode, 'image' AS name, pos % 3 AS pos, min(x) AS lo, max(x) AS hi, avg(x) AS mean, sqrt(greatest(0, sum(x * x) / count(x) - avg(x) * avg(x))) AS sd, count(DISTINCT vec_id) AS n FROM (SELECT label, vec_id, unnest(range(64)) AS pos, unnest(embedding)::DOUBLE / 255 AS x FROM embeddings) GROUP BY ALL)
         SELECT episode, name, count(*)::INTEGER AS width, round(sum(lo), 6) AS min, round(sum(hi), 6) AS max, round(sum(mean), 6) AS mean, round(sum(sd), 6) AS std, max(n) AS count FROM (SELECT * FROM p UNION ALL SELECT * FROM i) GROUP BY episode, name""",
+    "dataset_written": """WITH t AS (SELECT *, dense_rank() OVER (ORDER BY conv_id) - 1 AS e FROM conversations WHERE conv_id % 5 <> 3), k AS (SELECT conv_id % 7 AS k, row_number() OVER (ORDER BY min(conv_id)) - 1 AS task_index FROM t GROUP BY 1),
+        n AS (SELECT e, count(*) AS length, sum(count(*)) OVER (ORDER BY e)::BIGINT AS hi FROM t GROUP BY e), f AS (SELECT t.*, row_number() OVER (PARTITION BY t.e ORDER BY turn) - 1 AS i FROM t)
+        SELECT f.e AS episode_index, i AS frame_index, hi - length + i AS index, i AS row_index, task_index, (conv_id % 7)::VARCHAR AS task, round(i / 50::DOUBLE, 6) AS timestamp, length, hi - length AS dataset_from_index, hi AS dataset_to_index, turn::DOUBLE AS turn, conv_id::DOUBLE AS conv_id
+        FROM f JOIN n ON f.e = n.e JOIN k ON f.conv_id % 7 = k.k""",
+    "dataset_converted": f"""WITH f AS ({_FR}), c AS (SELECT vec_id % 3 AS k, CASE WHEN vec_id % 3 = 2 THEN 5 ELSE 5 + row_number() OVER (PARTITION BY vec_id % 3 = 2 ORDER BY min(index)) END AS task_index FROM f GROUP BY vec_id % 3),
+        g AS (SELECT f.*, c.task_index AS code FROM f JOIN c ON f.vec_id % 3 = c.k), t AS (SELECT episode_index, string_agg(name, ',' ORDER BY code) AS tasks FROM (SELECT DISTINCT episode_index, code, 'task ' || (vec_id % 3) AS name FROM g) GROUP BY episode_index)
+        SELECT g.episode_index::BIGINT AS episode_index, frame_index, index, code AS task_index, {_LS('e[1:29]')} AS state, {_LS('e[36:64]')} AS actions, tasks, count(*) OVER w AS length, round(avg(e[64]::DOUBLE) OVER w, 6) AS mean, count(*) OVER w AS count
+        FROM g JOIN t ON g.episode_index = t.episode_index WINDOW w AS (PARTITION BY g.episode_index)""",
+    "video_paths": "SELECT c.conv_id AS episode_index, 'observation.images.' || k AS camera, CASE WHEN c.conv_id % 2 = 0 THEN 'given/' || k || '/' || c.conv_id ELSE 'v/' || k || '/' || c.conv_id || '-' || m END AS path FROM (SELECT conv_id, min(turn) AS m FROM conversations GROUP BY conv_id) c, (VALUES ('a'), ('b')) x(k)",
     "running_total": f"WITH n AS ({_EP}) SELECT conv_id AS episode_index, length, to_index FROM n",
     "text_functions": "SELECT n_nationkey, n_name AS left_part, 'a:b' AS right_part, '/x/' || n_name AS namespace, n_name AS decoded, n_name AS stream, n_name AS tail, printf('d/%03d/%s.p', n_regionkey, n_name) AS path, 500::DOUBLE AS latency, 'dataset_20240301_040506' AS dataset, n_nationkey AS found, -1 AS other, '1,1,2' AS shape, n_nationkey::DOUBLE AS first FROM nation",
     "duplicate_names": "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1",
