@@ -21,6 +21,11 @@ def token_count(text: Column) -> Column:
     return F.greatest(F.lit(1).cast("long"), F.expr("1").cast("long") * F.coalesce(F.floor((F.length(text) + F.lit(3)) / F.lit(4)), F.lit(1)).cast("long"))
 
 
+def source_key(source: Column) -> Column:
+    """A text that isn't null, so that plain joins and windows on it share a partitioning."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
+
+
 def flattening(supply: DataFrame) -> DataFrame:
     """Knots (source, t, w): shares of the tokens at the start, shares of their square roots at the end."""
     whole = supply.agg(F.sum("supply").alias("all"))
@@ -42,7 +47,7 @@ def given(supply: DataFrame, schedule: Schedule) -> DataFrame:
             left = [k for k in knots if k[0] <= t] or knots[:1]
             right = [k for k in knots if k[0] >= t] or knots[-1:]
             (t0, w0), (t1, w1) = left[-1], right[0]
-            rows.append((source, t, w0 if t1 <= t0 else w0 + (w1 - w0) * (t - t0) / (t1 - t0)))
+            rows.append(("null" if source is None else f"={source}", t, w0 if t1 <= t0 else w0 + (w1 - w0) * (t - t0) / (t1 - t0)))
     return supply.sparkSession.createDataFrame(rows, "source string, t double, w double")
 
 
@@ -88,7 +93,7 @@ def training_positions(docs: DataFrame, schedule: Schedule | None = None, budget
     src, tok, key, tie, part = "f_source", "f_tokens", "f_key", "f_tie", "f_part"
     base = docs.select(
         *(named(c).alias(f"keep_{i}") for i, c in enumerate(kept)),
-        F.col("source").cast("string").alias(src),
+        source_key(F.col("source")).alias(src),
         token_count(F.col("text")).alias(tok),
         F.md5(F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(str(seed)))).alias(key),
         row_hash(docs).alias(tie),
@@ -101,7 +106,7 @@ def training_positions(docs: DataFrame, schedule: Schedule | None = None, budget
     supply = slim.groupBy(F.col(src).alias("source")).agg(F.sum("tokens").cast("double").alias("supply"))
     pieces = cut(segments(flattening(supply) if schedule is None else given(supply, schedule)))
     weight = pieces.groupBy(F.col("source").alias("ws")).agg(F.sum("area").alias("weight"))
-    source = supply.join(weight, F.col("source").eqNullSafe(F.col("ws"))).drop("ws").where("weight > 0")
+    source = supply.join(weight, F.col("source") == F.col("ws")).drop("ws").where("weight > 0")
     if budget == "cover":
         whole = source.agg(F.max(F.col("supply") / F.col("weight")).alias("b")).first()["b"] or 0.0
     elif budget == "total":
@@ -111,13 +116,14 @@ def training_positions(docs: DataFrame, schedule: Schedule | None = None, budget
 
     slices = slim.groupBy(F.col(src).alias("ss"), F.substring(part, 1, digits).alias("sp")).agg(F.sum("tokens").alias("st"))
     starts = slices.selectExpr("ss", "sp", "sum(st) OVER (PARTITION BY ss ORDER BY sp) - st AS earlier")
-    starts = starts.join(source.withColumnRenamed("source", "os"), F.col("ss").eqNullSafe(F.col("os"))).drop("os")
+    starts = starts.join(source.withColumnRenamed("source", "os"), F.col("ss") == F.col("os")).drop("os")
     shaped = pieces.groupBy(F.col("source").alias("gs")).agg(F.sort_array(F.collect_list(F.struct("t0", "t1", "w0", "w1", "area", "before"))).alias("pieces"))
-    starts = starts.join(shaped, F.col("ss").eqNullSafe(F.col("gs"))).drop("gs")
+    starts = starts.join(shaped, F.col("ss") == F.col("gs")).drop("gs")
 
     inner = f"sum({tok}) OVER (PARTITION BY {src}, {part} ORDER BY {key}, {tie}) - {tok}"
-    run = base.withColumn(part, F.substring(key, 1, digits)).selectExpr("*", f"{inner} AS within")
-    placed = run.join(starts, F.col(src).eqNullSafe(F.col("ss")) & (F.col(part) == F.col("sp")))
+    # the join comes first, as the window then keeps its partitioning
+    joined = base.withColumn(part, F.substring(key, 1, digits)).join(starts, (F.col(src) == F.col("ss")) & (F.col(part) == F.col("sp")))
+    placed = joined.selectExpr("*", f"{inner} AS within")
     demand = F.lit(whole) * F.col("weight")
     epochs = F.greatest(F.lit(0.0), F.ceil((demand - F.col("offset")) / F.col("supply")).cast("double")).cast("long")
     placed = placed.withColumn("offset", (F.col("earlier") + F.col("within")).cast("double")).withColumn("times", epochs).where("times > 0")

@@ -19,6 +19,8 @@ SHINGLE = 3
 THRESHOLD = 0.55
 #: Members of a bucket that meet as one block.
 BLOCK = 4096
+#: Bytes of the list of documents that go which is sent to every executor. A longer one is joined.
+DROPS_BYTES = 16 << 20
 _VALUE_BITS = 24
 _U64 = np.uint64
 
@@ -218,18 +220,24 @@ def near_duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, block:
     return rows.join(named_classes, "c").select("doc_id", "nk", F.col("best.doc_id").alias("group_id"), "group_size", "copies", (F.col("nk") == F.col("best.nk")).alias("keep"))
 
 
-def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD, limit: int = DROPS_BYTES) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, and one row of repeated rows; all columns stay.
 
     Of rows that agree in doc_id and text but not in other columns, that of the least hash of the row stays.
-    Documents without words stay unless their row is repeated (see near_duplicate_groups).
+    Documents without words stay unless their row is repeated (see near_duplicate_groups). Texts are shuffled only where the
+    keys of those that go have more than ``limit`` bytes.
     """
     nk, row = fresh(docs, "nk", "row")
     groups = cut(near_duplicate_groups(docs, threshold).select(F.col("nk").alias(nk), "keep", "copies"))
     keyed = docs.withColumn(nk, row_key())
-    kept = keyed.join(groups.where("NOT keep").select(nk), nk, "left_anti")
-    again = groups.where("keep AND copies > 1").select(nk)
-    if not again.isEmpty():
+    gone, again = groups.where("NOT keep").select(nk), groups.where("keep AND copies > 1").select(nk)
+    if 8 * gone.count() <= limit:
+        gone = F.broadcast(gone)
+    n_again = again.count()
+    if 8 * n_again <= limit:
+        again = F.broadcast(again)
+    kept = keyed.join(gone, nk, "left_anti")
+    if n_again:
         one = kept.join(again, nk, "left_semi").groupBy(nk).agg(F.min_by(F.struct(*every(docs)), row_hash(docs)).alias(row))
         kept = kept.join(again, nk, "left_anti").select(*every(docs)).unionByName(one.select(*(F.col(row)[c].alias(c) for c in docs.columns)))
     return kept.select(*every(docs))
