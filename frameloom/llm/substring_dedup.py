@@ -6,17 +6,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameloom.llm import bloom
 from frameloom.llm import textvec as tv
-from frameloom.llm.common import cut, distinct_rows, join_counted, lean, require, row_key, stored
+from frameloom.llm.common import cut, distinct_rows, lean, require, row_key
 
 MIN_WORDS = 50
 #: Bytes of a filter that is sent to every executor. A larger one stays in shards, to which the windows' hashes go.
 FILTER_BYTES = 64 << 20
-RUNS = "h long, doc_id long, nk long, pos int, start int, end int, again boolean"
+#: Runs that more than one row in so many has are frequent; a task holds some counts of what may be.
+FREQUENT, HELD_COUNTS = 1024, 200_000
+#: A run: its hash, its document (no id, the id or else the row key), half of the row key with the place and whether it comes again, start and size.
+RUNS = "h long, none boolean, key long, at long, chars long"
 
 
 def block_words(min_words: int) -> int:
@@ -84,13 +88,37 @@ def _all_windows(n: int):
     return lean(run)
 
 
-def _runs(n: int, least: int, shared):
+class _Frequent:
+    """Counts of what comes often among many hashes (lossy counting): none of more than one in ``FREQUENT`` is missed."""
+
+    def __init__(self) -> None:
+        self.h, self.n, self.total = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def add(self, h: np.ndarray) -> None:
+        u, n = np.unique(h, return_counts=True)
+        self.total += len(h)
+        self.h, at = np.unique(np.concatenate([self.h, u]), return_inverse=True)
+        self.n = np.bincount(at, np.concatenate([self.n, n])).astype(np.int64)
+        if len(self.h) > HELD_COUNTS:
+            some = self.n > self.total // (8 * FREQUENT)
+            self.h, self.n = self.h[some], self.n[some]
+
+    def found(self) -> pa.RecordBatch:
+        """(h, n) of the candidates, and the number of all as that of a null."""
+        some = self.n > max(1, self.total // (4 * FREQUENT))
+        h, n = self.h[some].tolist(), self.n[some].tolist()
+        return pa.RecordBatch.from_arrays([pa.array([*h, None], pa.int64()), pa.array([*n, self.total], pa.int64())], ["h", "n"])
+
+
+def _runs(n: int, least: int, shared, count: bool = False):
     """Runs of ``least`` words that hold an anchor of ``n`` words: by the broadcast filter of anchors, or the column ``hits`` of their places.
 
-    ``again`` says that the same run stands up to ``least`` words before in the text, as in one word that goes on.
+    ``again`` says that the same run stands up to ``least`` words before in the text, as in one word that goes on;
+    Fields are packed, as they are shuffled. With ``count`` only how often the frequent ones come.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = _Frequent()
         for batch in batches:
             for i, j, data, offs in tv.slices(batch.column("text")):
                 w = Words(data, offs)
@@ -106,21 +134,28 @@ def _runs(n: int, least: int, shared):
                     anchor[np.searchsorted(w.row, own) + hits.flatten().to_numpy(zero_copy_only=False)] = True
                 before = np.concatenate([[0], np.cumsum(anchor)])
                 at = np.flatnonzero(inside & (before[least - n + 1 :][: len(h)] > before[: len(h)]))
+                if count:
+                    frequent.add(h[at].view(np.int64))
+                    continue
                 order = np.lexsort((at, h[at], w.row[at]))
                 s = at[order]
                 again = np.zeros(len(at), bool)
                 again[order[1:]] = (h[s[1:]] == h[s[:-1]]) & (w.row[s[1:]] == w.row[s[:-1]]) & (s[1:] - s[:-1] <= least)
                 start, end = w.chars()
                 ids = pa.array(w.row[at])
-                columns = [pa.array(h[at].view(np.int64)), batch.column("doc_id").slice(i, j - i).take(ids), batch.column("nk").slice(i, j - i).take(ids)]
-                columns += [pa.array(x.astype(np.int32)) for x in (w.place[at], start[at], end[at + least - 1])]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(again)], [c.split()[0] for c in RUNS.split(", ")])
+                doc, nk = (batch.column(c).slice(i, j - i).take(ids) for c in ("doc_id", "nk"))
+                half = nk.to_numpy().astype(np.int32).astype(np.int64) << 32
+                packed = half | (w.place[at] << 1) | again
+                chars = start[at] << 32 | (end[at + least - 1] - start[at])
+                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), doc.is_null(), pc.coalesce(doc, nk), pa.array(packed), pa.array(chars)], [c.split()[0] for c in RUNS.split(", ")])
+        if count:
+            yield frequent.found()
 
     return lean(run)
 
 
-def repeated_runs(docs: DataFrame, min_words: int, limit: int) -> DataFrame:
-    """Runs of ``min_words`` words that may stand elsewhere, too (all that do are among them), of documents (doc_id, nk, text)."""
+def repeated_runs(docs: DataFrame, min_words: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Runs of ``min_words`` words that may stand elsewhere, too (all that do are among them), of documents (doc_id, nk, text), and (h) of the most frequent."""
     spark, n = docs.sparkSession, block_words(min_words)
     spaces = docs.agg(F.sum(F.ceil(F.octet_length("text") / 2 / n)).alias("n")).first()["n"] or 0
     count = max(1, int(spaces) // 3)  # a word and its space have six bytes, as a rule; a fuller filter only lets more through
@@ -128,10 +163,14 @@ def repeated_runs(docs: DataFrame, min_words: int, limit: int) -> DataFrame:
     if 8 * size <= limit:
         filters = bloom.filters(docs.select("text"), _blocks(n), size)
         anchors = bloom.filters(docs.select("text"), _anchors(n, spark.sparkContext.broadcast(filters)), size)[0]
-        return docs.mapInArrow(_runs(n, min_words, spark.sparkContext.broadcast(anchors)), RUNS)
-    hits = bloom.sharded(docs.mapInArrow(_all_windows(n), "h long, nk long, pos int, index boolean"), count)
-    hits = hits.groupBy("nk").agg(F.collect_list("pos").alias("hits"))
-    return docs.join(hits, "nk").mapInArrow(_runs(n, min_words, None), RUNS)
+        shared, anchored = spark.sparkContext.broadcast(anchors), docs
+    else:
+        hits = bloom.sharded(docs.mapInArrow(_all_windows(n), "h long, nk long, pos int, index boolean"), count)
+        shared, anchored = None, cut(docs.join(hits.groupBy("nk").agg(F.collect_list("pos").alias("hits")), "nk"))
+    counts = cut(anchored.mapInArrow(_runs(n, min_words, shared, True), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
+    total = counts.where("h IS NULL").agg(F.sum("n").alias("n")).first()["n"] or 0
+    often = counts.where("h IS NOT NULL").where(F.col("n") > max(1, 3 * total // (4 * FREQUENT))).select("h")  # fewer than 4/3 of ``FREQUENT``
+    return anchored.mapInArrow(_runs(n, min_words, shared), RUNS), often
 
 
 def exact_repeats(docs: DataFrame, min_words: int = MIN_WORDS, limit: int = FILTER_BYTES) -> DataFrame:
@@ -144,6 +183,7 @@ def exact_repeats(docs: DataFrame, min_words: int = MIN_WORDS, limit: int = FILT
     stood before lies in one passage, which is as long as both places agree or until an earlier place begins; a
     word or phrase that goes on for long is one passage. ``start``, ``end`` and ``ref_start`` (of the first run) count characters.
 
+    Runs are compared in one sort by their hash; the most frequent are looked up and spread over all tasks.
     Any run holds a whole block of (min_words + 1) // 2 words at a multiple of that length. Blocks are the index, every rolling
     window of that length probes it, and only runs through an anchor so found are compared. Filters beyond ``limit``
     bytes stay in shards, to which the hashes of windows go, with equal results. Texts are never shuffled but then.
@@ -155,19 +195,31 @@ def exact_repeats(docs: DataFrame, min_words: int = MIN_WORDS, limit: int = FILT
     require(docs, "doc_id", "text")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("nk"), "text").where(F.octet_length("text") >= 2 * min_words - 1)
     slim = distinct_rows(slim, "nk")
-    runs = stored(repeated_runs(slim, min_words, limit))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "nk", "pos", "start")
-    earliest = cut(runs.groupBy("h").agg(F.min(place).alias("r"), F.count("*").alias("n")).where("n > 1"))
-    later = join_counted(runs, earliest, "h").where("nk <> r.nk OR pos <> r.pos")
-    later = later.select("doc_id", "nk", "pos", "start", "end", "again", F.col("r.doc_id").alias("ref_id"), F.col("r.nk").alias("ref"), F.col("r.pos").alias("ref_pos"), F.col("r.start").alias("ref_start"))
-    w = Window.partitionBy("nk").orderBy("pos")
-    follows = (F.col("pos") == F.lag("pos").over(w) + 1) & (F.col("again") | ((F.col("ref") == F.lag("ref").over(w)) & (F.col("ref_pos") == F.lag("ref_pos").over(w) + 1)))
-    parts = later.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("part", F.sum("new").over(w))
-    passages = parts.groupBy("nk", "part").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), (F.max("pos") - F.min("pos") + min_words).alias("n_words"),
-        F.min(F.struct("pos", "ref_id", "ref_start")).alias("r"),
+    runs, often = repeated_runs(slim, min_words, limit)
+    place = F.struct("none", "key", "at", F.shiftright("chars", 32).cast("int").alias("start"))
+    salt, known = F.lit(0), F.lit(None).cast("struct<none:boolean,key:bigint,at:bigint,start:int>")
+    if not often.isEmpty():
+        earliest = cut(runs.join(F.broadcast(often), "h").groupBy("h").agg(F.min(place).alias("known")))
+        runs = runs.join(F.broadcast(earliest), "h", "left")
+        known = F.col("known")
+        salt = F.when(known.isNotNull(), F.pmod(F.xxhash64("key", "at"), F.lit(4096)).cast("int")).otherwise(0)
+    by = Window.partitionBy("h", "salt").orderBy("none", "key", "at").rowsBetween(Window.unboundedPreceding, 0)
+    later = runs.withColumn("salt", salt).withColumn("r", F.coalesce(known, F.first(place).over(by)))
+    spot = lambda c: F.shiftright(c, 1)
+    later = later.where("none <> r.none OR key <> r.key OR shiftright(at, 1) <> shiftright(r.at, 1)")
+    low = (1 << 32) - 1
+    later = later.select("none", "key", F.shiftright("at", 32).cast("int").alias("half"), F.col("at").bitwiseAND(low).alias("pos"), "chars", *(F.col(f"r.{c}").alias(f"ref_{c}") for c in ("none", "key", "at", "start")))
+    w = Window.partitionBy("none", "key", "half").orderBy("pos")
+    before = lambda c: F.lag(c).over(w)
+    again, next_to = F.col("pos").bitwiseAND(1) == 1, spot("pos") == spot(before("pos")) + 1
+    lockstep = (F.col("ref_none") == before("ref_none")) & (F.col("ref_key") == before("ref_key")) & (spot("ref_at") == spot(before("ref_at")) + 1)
+    parts = later.withColumn("new", F.when(next_to & (again | lockstep), 0).otherwise(1)).withColumn("part", F.sum("new").over(w))
+    start = F.shiftright("chars", 32)
+    passages = parts.groupBy("none", "key", "half", "part").agg(
+        F.min(start).alias("start"), F.max(start + F.col("chars").bitwiseAND(low)).alias("end"), (F.max(spot("pos")) - F.min(spot("pos")) + min_words).cast("int").alias("n_words"), F.min(F.struct("pos", "ref_none", "ref_key", "ref_start")).alias("r"),
     )
-    return passages.select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "n_words", F.col("r.ref_id").alias("ref_doc_id"), F.col("r.ref_start").cast("long").alias("ref_start"))
+    ref = F.when(~F.col("r.ref_none"), F.col("r.ref_key"))
+    return passages.select(F.when(~F.col("none"), F.col("key")).alias("doc_id"), "start", "end", "n_words", ref.alias("ref_doc_id"), F.col("r.ref_start").cast("long").alias("ref_start"))
 
 
 _S = r"\t\n\x0b\f\r "
