@@ -11,7 +11,7 @@ from frameloom.llm.common import cut, every, fresh, named, require, row_hash
 
 SEED = 17
 #: Documents that one window of the running token count should hold.
-PER_WINDOW = 20_000
+PER_WINDOW = 5_000
 
 Schedule = Mapping[str | None, Sequence[tuple[float, float]]]
 
