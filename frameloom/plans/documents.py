@@ -72,7 +72,7 @@ def compact_features(shapes: Mapping[str, Sequence[int]], width: int = DOF) -> d
     return images | {c: feature("float32", (width,), ("joint",)) for c in ("state", "actions")} | index_features()
 
 
-def info(paths: Mapping[str, str], features: Mapping[str, dict], fps: float, episodes: int, frames: int, tasks: int, videos: int, source: Mapping[str, object] | None = None, robot: str = "unitree_g1", chunks: int | None = None) -> dict:
+def info(paths: Mapping[str, str], features: Mapping[str, dict], fps: float, episodes: int, frames: int, tasks: int, videos: int, source: Mapping[str, object] | None = None, robot: str = "unknown", chunks: int | None = None) -> dict:
     """The document of a dataset; version and robot come from that of its ``source``, if that has them."""
     source = source or {}
     return {
