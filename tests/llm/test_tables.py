@@ -157,6 +157,59 @@ def test_repeats_brute_force(spark, limit):
         assert all(x["n_words"] == g[2] - g[1] for x, g in zip(rows, got))
 
 
+def test_repeats_in_segments_brute_force(spark):
+    """Rare, crowded and frequent runs in batches of few segments; words and gaps that are longer than a segment's steps."""
+    r = np.random.default_rng(8)
+    texts = [[f"o{d}_{k}" for k in range(int(r.integers(0, 20)))] for d in range(240)]
+    put = lambda d, words: texts[d].extend([*words, f"e{d}_{len(texts[d])}"])
+    for p in range(400):
+        words = [f"p{p}_{k}" * (60 if r.random() < 0.02 else 1) for k in range(150)]
+        a, b = r.choice(240, 2, replace=False)
+        put(a, words), put(b, words[int(r.integers(0, 40)) :])
+    shared, often = [f"s{k}" for k in range(30)], [f"f{k}" for k in range(70)]
+    for p in range(12):
+        left, right = ([f"{x}{p}_{k}" for k in range(40)] for x in "lr")
+        for d in r.choice(240, 2, replace=False):
+            put(d, left + shared + right)
+    for d in r.choice(240, 100, replace=False):
+        put(d, often)
+    joined = [" ".join(w + " " * (300 * int(r.random() < 0.01)) for w in t) for t in texts]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(joined)], "doc_id long, text string")
+    start = [{m.start(): i for i, m in enumerate(re.finditer(r"\S+", t))} for t in joined]
+    end = [{m.end(): i + 1 for i, m in enumerate(re.finditer(r"\S+", t))} for t in joined]
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 3)
+    try:
+        rows = substring_dedup.exact_repeats(docs).collect()
+    finally:
+        spark.conf.set(size, before)
+    got = {(x["doc_id"], start[x["doc_id"]][x["start"]], end[x["doc_id"]][x["end"]], x["ref_doc_id"], start[x["ref_doc_id"]][x["ref_start"]]) for x in rows}
+    assert len(rows) == len(got) and got == passages(texts, 50)
+
+
+def test_repeats_shuffle_little(spark):
+    """Near copies: less is shuffled than three times their text, which one row for each run would exceed."""
+    r = np.random.default_rng(12)
+    rows = []
+    for d in range(300):
+        words = [f"{x:x}" for x in r.integers(1 << 16, 1 << 22, 2000).tolist()]
+        rows.append((2 * d, " ".join(words)))
+        words[1000] = "other"
+        rows.append((2 * d + 1, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    context = spark.sparkContext._jsc.sc()
+
+    def written():
+        context.listenerBus().waitUntilEmpty()
+        found = context.statusStore().executorList(False)
+        return sum(found.apply(k).totalShuffleWrite() for k in range(found.size()))
+
+    before = written()
+    got = substring_dedup.exact_repeats(docs).collect()
+    assert len(got) == 600 and (written() - before) < 3 * sum(len(t) for _, t in rows)
+
+
 def test_frequent_runs_are_looked_up(spark):
     passage = " ".join(f"p{k}" for k in range(55))
     rows = [(k, f"{passage} {' '.join(f'o{k}_{j}' for j in range(30))}" if k % 3 == 0 else " ".join(f"o{k}_{j}" for j in range(85))) for k in range(900)]
