@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,6 +63,27 @@ def l2_distance(a: Column | str, b: Column | str) -> Column:
     return F.when(F.size(a) == F.size(b), whole).otherwise(F.raise_error(F.lit("vectors differ in length")).cast("double"))
 
 
+def _whole_digits(x: Column) -> Column:
+    """All digits of a double that is positive, whole and at least 2**53."""
+    unit = F.lit(Decimal(10**20))
+    quarter = F.floor(x / 2.0**65).cast("decimal(19,0)") * F.lit(Decimal(2**63)) + (x / 4 % 2.0**63).cast("long").cast("decimal(19,0)")  # x itself may have 39 digits
+    low = quarter % unit * 4
+    high = F.call_function("div", quarter, unit) * 4 + F.call_function("div", low, unit)
+    return F.ltrim(F.concat(high.cast("string"), F.lpad((low % unit).cast("string"), 20, "0")), F.lit("0"))
+
+
+def six_decimals(c: Column | str) -> Column:
+    """A 32-bit float as text with six decimals, as C's ``%.6f``: a value that lies halfway (an odd number of 128ths) goes to the even digit.
+
+    Java's ``%.6f`` takes it up instead. Null stays null.
+    """
+    x = as_column(c).cast("double")
+    small = F.when(F.abs(x) < 2.0**53, F.call_function("format_number", x, F.lit("0.000000")))
+    sign = F.when(x < 0, "-").otherwise("")
+    odd = small.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.concat(sign, F.lit("inf")))
+    return odd.otherwise(F.concat(sign, _whole_digits(F.abs(x)), F.lit(".000000")))
+
+
 def strip(c: Column | str) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(F.regexp_replace(as_column(c), f"^{_SPACE}", ""), f"{_SPACE}$", "")

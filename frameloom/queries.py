@@ -433,8 +433,8 @@ def _frames(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _listed(c: str) -> Column:
-    """All values of a vector as text, to six decimals."""
-    return F.array_join(F.transform(F.col(c), lambda x: F.format_string("%.6f", x.cast("double"))), ",")
+    """All values of a vector as text, to six decimals; nulls go."""
+    return F.array_join(F.transform(F.col(c), V.six_decimals), ",")
 
 
 def layout_state_action(spark: SparkSession, d: str) -> DataFrame:

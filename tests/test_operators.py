@@ -2,6 +2,7 @@
 
 import math
 import os
+import struct
 
 import duckdb
 import pytest
@@ -17,6 +18,10 @@ from frameloom.sources import sinks
 SF = "/root/testdata/sf0.001"
 
 
+#: Halfway between two texts of six decimals, and other values whose text differs from language to language.
+ODD = [0.0078125, -0.0703125, 0.0390625, 2.0234375, 8191.9921875, 0.0, -0.0, -1e-9, 4.9999999e-7, 16777217.0, 2.0**53, 2.0**63, -3.0000001e20, 3.4028234663852886e38, math.nan, math.inf, -math.inf]
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -40,6 +45,34 @@ def test_sql_gives_the_same(spark, duck, name):
     assert sorted(map(repr, want)) == sorted(repr(tuple(map(plain, r))) for r in got.select(*cols).collect())
 
 
+def same_as_sql_over(spark, folder, name, rows):
+    """The query's rows and its SQL's over embeddings of ``rows``."""
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{folder}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet/*.parquet'")
+    cur = con.execute(Q.ORACLE_SQL[name])
+    cols = [c[0] for c in cur.description]
+    want = [tuple(map(plain, r)) for r in cur.fetchall()]
+    assert len(want) == len(rows)
+    assert sorted(map(repr, want)) == sorted(repr(tuple(map(plain, r))) for r in Q.QUERIES[name](spark, folder).select(*cols).collect())
+
+
+def halves(n):
+    """Vectors all of whose values lie halfway between two texts of six decimals."""
+    return [(i, [(-1) ** i * (2 * (64 * i + j) + 1) / 128 for j in range(64)], i % 2) for i in range(n)]
+
+
+def test_six_decimals_are_those_of_c(spark):
+    got = spark.createDataFrame([(ODD,)], "v array<float>").select(F.transform("v", V.six_decimals)).first()[0]
+    floats = [struct.unpack("f", struct.pack("f", x))[0] for x in ODD]
+    assert got == ["%.6f" % x for x in floats]
+    assert spark.sql("SELECT CAST(NULL AS FLOAT) AS x").select(V.six_decimals("x")).first()[0] is None
+
+
+def test_converted_values_halfway_are_as_in_sql(spark, tmp_path):
+    same_as_sql_over(spark, str(tmp_path), "dataset_converted", halves(12))
+
+
 def test_every_cell_of_the_state_machine():
     modes = ["IDLE", "RECORDING", "NEED_TO_SAVE", "FAILED", "DISCARD"]
     want = {
