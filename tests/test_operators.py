@@ -73,6 +73,10 @@ def test_converted_values_halfway_are_as_in_sql(spark, tmp_path):
     same_as_sql_over(spark, str(tmp_path), "dataset_converted", halves(12))
 
 
+def test_compact_values_halfway_are_as_in_sql(spark, tmp_path):
+    same_as_sql_over(spark, str(tmp_path), "layout_compact", halves(6))
+
+
 def test_every_cell_of_the_state_machine():
     modes = ["IDLE", "RECORDING", "NEED_TO_SAVE", "FAILED", "DISCARD"]
     want = {
