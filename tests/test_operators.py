@@ -77,6 +77,11 @@ def test_compact_values_halfway_are_as_in_sql(spark, tmp_path):
     same_as_sql_over(spark, str(tmp_path), "layout_compact", halves(6))
 
 
+def test_state_action_values_halfway_are_as_in_sql(spark, tmp_path):
+    odd = [v for v in ODD if not math.isnan(v)] + [None]
+    same_as_sql_over(spark, str(tmp_path), "layout_state_action", [*halves(6), (6, (odd * 4)[:64], 1)])
+
+
 def test_every_cell_of_the_state_machine():
     modes = ["IDLE", "RECORDING", "NEED_TO_SAVE", "FAILED", "DISCARD"]
     want = {
